@@ -338,19 +338,19 @@ def queries() -> dict[str, Query]:
         # Quality and headline figures
         "q1_row_counts": _raw_counts,
         "q2_intake_coverage": _on(quality.intake_coverage, "raw.cases"),
-        "q3_events_per_case": _on(quality.events_per_case, "raw.events_log"),
+        "q3_events_per_case": _on(quality.events_per_case, "case_profile"),
         "q4_event_integrity": _on(quality.event_integrity, "raw.events_log"),
         "q4_event_integrity_unrounded": _on(
             quality.event_integrity, "raw.events_log", digits=None
         ),
         "q5_duplicate_groups": _on(quality.duplicate_groups, "raw.events_log"),
         "q6_ingestion_before_event": _on(quality.ingestion_before_event, "raw.events_log"),
-        "q7_status_coverage": _on(quality.status_coverage, "raw.events_log"),
-        "q8_triage_before_intake": _on(quality.triage_before_intake, "raw.events_log"),
+        "q7_status_coverage": _on(quality.status_coverage, "case_profile"),
+        "q8_triage_before_intake": _on(quality.triage_before_intake, "case_profile"),
         "q9_triage_before_intake_canonical": _on(
-            quality.triage_before_intake, "timed_events", time="event_ts_canonical"
+            quality.triage_before_intake, "case_profile", time="event_ts_canonical"
         ),
-        "q10_cancelled_and_resolved": _on(quality.cancelled_and_resolved, "raw.events_log"),
+        "q10_cancelled_and_resolved": _on(quality.cancelled_and_resolved, "case_profile"),
         "q11_triage_before_intake_after_repair": _on(
             quality.triage_before_intake_after_repair, "case_milestones"
         ),

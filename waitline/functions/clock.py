@@ -89,39 +89,37 @@ class BusinessClock:
         """Add the position of each timestamp column under the given name; NULL stays NULL.
 
         Times before the calendar have position 0, times after it the number of
-        all open minutes.
+        all open minutes. One broadcast join per column and a single projection:
+        the joined row already holds the open minutes before its day and within
+        it, which keeps the generated code of many columns small enough to compile.
         """
         per_day = self.hours.minutes_per_day
-        days = F.broadcast(
-            self.days.select(
-                F.col("cal_date").alias("_day"),
-                F.col("is_business").alias("_open"),
-                F.col("days_before").alias("_before"),
-            )
+        days = self.days.select(
+            "cal_date",
+            (F.col("days_before") * per_day).alias("minutes_before"),
+            F.when(F.col("is_business"), per_day).otherwise(0).alias("minutes_open"),
         )
-        for source, target in columns.items():
-            ts = F.col(source)
-            day = ts.cast("date")
-            since_opening = (
-                F.hour(ts) * 60
-                + F.minute(ts)
-                + F.when(F.date_part(F.lit("SECOND"), ts) > 0, 1).otherwise(0)
-                - self.hours.open_minute
-            )
-            today = F.when(
-                F.col("_open"), F.least(F.greatest(since_opening, F.lit(0)), F.lit(per_day))
-            ).otherwise(0)
-            position = (
-                F.when(F.col("_before").isNotNull(), F.col("_before") * per_day + today)
-                .when(day > F.lit(self.last_day), self.business_days * per_day)
-                .when(day < F.lit(self.first_day), 0)
+        after = self.last_day + dt.timedelta(days=1)
+        total = self.business_days * per_day
+        kept = [F.col(f"`{name}`") for name in df.columns]
+        positions = []
+        for number, (ts, target) in enumerate(columns.items()):
+            day = f"_day{number}"
+            df = df.join(
+                F.broadcast(days.alias(day)),
+                F.expr(f"CAST(`{ts}` AS DATE) = {day}.cal_date"),
+                "left",
             )
-            df = (
-                df.join(days, day == F.col("_day"), "left")
-                .withColumn(target, position.cast("bigint"))
-                .drop("_day", "_open", "_before")
+            positions.append(
+                F.expr(f"""CAST(coalesce(
+                    {day}.minutes_before + least({day}.minutes_open, greatest(0,
+                        hour(`{ts}`) * 60 + minute(`{ts}`) - {self.hours.open_minute}
+                        + IF(extract(SECOND FROM `{ts}`) > 0, 1, 0))),
+                    CASE WHEN `{ts}` >= TIMESTAMP_NTZ'{after} 00:00:00' THEN {total}
+                         WHEN `{ts}` < TIMESTAMP_NTZ'{self.first_day} 00:00:00' THEN 0 END
+                    ) AS BIGINT)""").alias(target)
             )
-        return df
+        return df.select(*kept, *positions)
 
     def minute_spine(self) -> DataFrame:
         """Every open minute with its number; a small dimension for reports and checks."""

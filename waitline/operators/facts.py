@@ -7,25 +7,52 @@ columns of this table and join nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waitline.functions.clock import BusinessClock
 from waitline.operators.milestones import CASE_COLUMNS
-from waitline.operators.sla import sla_columns
-from waitline.operators.stages import stage_columns
-from waitline.settings import Targets
 
+# Time of a case and the column of its position.
+UNREPAIRED = {
+    "intake_ts": "intake_at",
+    "assignment_ts": "assignment_at",
+    "investigation_ts": "investigation_at",
+    "review_qa_ts": "review_qa_at",
+}
+REPAIRED = {
+    "triage_ts": "triage_at",
+    "resolved_ts": "resolved_at",
+    "resolved_first_ts": "resolved_first_at",
+}
 
-def case_facts(
-    repaired: DataFrame, waits: DataFrame, clock: BusinessClock, targets: Targets | None = None
-) -> DataFrame:
-    """Positions, SLA metrics and stage times per case.
 
-    ``repaired`` comes from ``repaired_times``, ``waits`` from ``wait_minutes``.
+def with_unrepaired_positions(firsts: DataFrame, clock: BusinessClock) -> DataFrame:
+    """Positions of the times that no repair changes, for ``first_times``.
+
+    Adding these before that table is stored leaves each of the two steps with
+    generated code small enough for the JVM to compile.
+    """
+    return clock.with_positions(firsts, UNREPAIRED)
+
+
+def case_facts(repaired: DataFrame, waits: DataFrame, clock: BusinessClock) -> DataFrame:
+    """Times, positions and wait minutes per case.
+
+    ``repaired`` comes from ``with_unrepaired_positions`` by ``repaired_times``,
+    ``waits`` from ``wait_minutes``.
     ``is_measured`` marks the rows of the SLA table, ``has_all_stages`` and
     ``has_wait`` those of the stage table.
     """
+
+    def all_covered(*columns: str) -> Column:
+        # The earliest of them decides, if none is missing.
+        known = F.lit(True)
+        for column in columns:
+            known = known & F.col(column).isNotNull()
+        earliest = F.least(*columns) if len(columns) > 1 else F.col(columns[0])
+        return known & clock.covers(earliest)
+
     times = repaired.select(
         *CASE_COLUMNS,
         F.col("triage_fixed").alias("triage_ts"),
@@ -33,44 +60,27 @@ def case_facts(
         F.col("resolved_any").alias("resolved_first_ts"),
         "assignment_ts",
         "investigation_ts",
-        "customer_wait_first_ts",
         "review_qa_ts",
         "cancelled_ts",
         "reopened_first_ts",
+        *UNREPAIRED.values(),
+        all_covered("customer_wait_first_ts").alias("has_wait"),
     )
-    positions = {
-        "intake_ts": "intake_at",
-        "triage_ts": "triage_at",
-        "resolved_ts": "resolved_at",
-        "resolved_first_ts": "resolved_first_at",
-        "assignment_ts": "assignment_at",
-        "investigation_ts": "investigation_at",
-        "review_qa_ts": "review_qa_at",
-    }
-
-    def all_covered(*columns: str):
-        covered = F.lit(True)
-        for column in columns:
-            covered = covered & clock.covers(F.col(column))
-        return covered
-
-    placed = clock.with_positions(times, positions).join(waits, "case_id", "left")
-    return placed.select(
-        *CASE_COLUMNS,
-        "triage_ts",
-        "resolved_ts",
-        "cancelled_ts",
-        "reopened_first_ts",
-        *[c.alias(name) for name, c in sla_columns(targets or Targets()).items()],
-        *[c.alias(name) for name, c in stage_columns().items()],
-        all_covered("intake_ts", "triage_ts", "resolved_ts").alias("is_measured"),
-        all_covered(
-            "intake_ts",
+    stage_times = [*UNREPAIRED, "triage_ts", "resolved_first_ts"]
+    return (
+        clock.with_positions(times, REPAIRED)
+        .join(waits, "case_id", "left")
+        .select(
+            *CASE_COLUMNS,
             "triage_ts",
-            "assignment_ts",
-            "investigation_ts",
-            "review_qa_ts",
-            "resolved_first_ts",
-        ).alias("has_all_stages"),
-        all_covered("customer_wait_first_ts").alias("has_wait"),
+            "resolved_ts",
+            "cancelled_ts",
+            "reopened_first_ts",
+            *UNREPAIRED.values(),
+            *REPAIRED.values(),
+            "customer_wait_business_minutes",
+            all_covered("intake_ts", "triage_ts", "resolved_ts").alias("is_measured"),
+            all_covered(*stage_times).alias("has_all_stages"),
+            "has_wait",
+        )
     )

@@ -31,32 +31,27 @@ def intake_coverage(cases: DataFrame) -> DataFrame:
     )
 
 
-def events_per_case(events: DataFrame) -> DataFrame:
-    """Events, cases among them and their ratio.
-
-    Counts per case first: the partial counts combine on the map side, so a case
-    with very many events is one row per task.
-    """
-    per_case = events.groupBy("case_id").agg(F.count("*").alias("n"))
-    return per_case.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_events"),
-        F.count("case_id").alias("distinct_cases_in_events"),
-    ).withColumn(
-        "avg_events_per_case",
-        F.round(F.try_divide("total_events", "distinct_cases_in_events"), 3),
-    )
-
-
-def event_integrity(events: DataFrame, digits: int | None = 3) -> DataFrame:
-    """Shares of missing times, flagged duplicates, late events and untrusted zones."""
+def event_rates(events: DataFrame, digits: int | None = 3) -> DataFrame:
+    """Shares of missing times, flagged duplicates, late events, untrusted zones and
+    events ingested before they happened, from one pass over the events."""
+    early = F.col("event_ts").isNotNull() & (F.col("ingestion_ts") < F.col("event_ts"))
     return events.agg(
         rate(F.col("event_ts").isNull(), digits).alias("pct_missing_event_ts"),
         rate(F.col("is_duplicate"), digits).alias("pct_duplicate_flag"),
         rate(F.col("is_late_arriving"), digits).alias("pct_late_arriving_flag"),
         rate(F.col("event_tz") == INCONSISTENT_ZONE, digits).alias("pct_tz_inconsistent"),
+        rate(early, digits).alias("pct_ingestion_before_event_ts"),
     )
 
 
+def event_integrity(events: DataFrame, digits: int | None = 3) -> DataFrame:
+    return event_rates(events, digits).drop("pct_ingestion_before_event_ts")
+
+
+def ingestion_before_event(events: DataFrame) -> DataFrame:
+    return event_rates(events).select("pct_ingestion_before_event_ts")
+
+
 def duplicate_groups(events: DataFrame) -> DataFrame:
     """Groups of equal case, status and time, and the rows beyond the first of each."""
     groups = (
@@ -71,51 +66,77 @@ def duplicate_groups(events: DataFrame) -> DataFrame:
     )
 
 
-def ingestion_before_event(events: DataFrame) -> DataFrame:
-    early = F.col("event_ts").isNotNull() & (F.col("ingestion_ts") < F.col("event_ts"))
-    return events.agg(rate(early).alias("pct_ingestion_before_event_ts"))
+# Statuses whose coverage is reported.
+COVERED_STATUSES = (
+    "TRIAGE",
+    "RESOLVED",
+    "CANCELLED",
+    "REOPENED",
+    "ESCALATED",
+    "CUSTOMER_WAIT",
+)
+
+
+def case_profile(events: DataFrame) -> DataFrame:
+    """Per case: number of events, statuses reached, first intake and triage times.
+
+    The case-level figures below are aggregates of it. Used on the events
+    directly, each computes only its own columns; stored, one pass serves all.
+    Partial aggregates combine on the map side, so a case with very many events
+    is one row per task.
+    """
+
+    def first(status: str, time: str) -> Column:
+        return F.min(F.when(F.col("status") == status, F.col(time)))
+
+    return events.groupBy("case_id").agg(
+        F.count("*").alias("events"),
+        *[
+            F.max(F.when(F.col("status") == s, 1).otherwise(0)).alias(f"has_{s.lower()}")
+            for s in COVERED_STATUSES
+        ],
+        *[
+            first(status, time).alias(f"{status.lower()}_{time}")
+            for status in ("INTAKE", "TRIAGE")
+            for time in ("event_ts", "event_ts_canonical")
+        ],
+    )
 
 
-def _has(status: str) -> Column:
-    return F.max(F.when(F.col("status") == status, 1).otherwise(0))
+def events_per_case(profile: DataFrame) -> DataFrame:
+    """Events, cases among them and their ratio."""
+    return profile.agg(
+        F.coalesce(F.sum("events"), F.lit(0)).alias("total_events"),
+        F.count("case_id").alias("distinct_cases_in_events"),
+    ).withColumn(
+        "avg_events_per_case",
+        F.round(F.try_divide("total_events", "distinct_cases_in_events"), 3),
+    )
 
 
-def status_coverage(events: DataFrame) -> DataFrame:
+def status_coverage(profile: DataFrame) -> DataFrame:
     """Share of cases that reached each of six statuses."""
-    statuses = ("TRIAGE", "RESOLVED", "CANCELLED", "REOPENED", "ESCALATED", "CUSTOMER_WAIT")
-    flags = events.groupBy("case_id").agg(*[_has(s).alias(s) for s in statuses])
-    return flags.agg(
+    return profile.agg(
         F.count("*").alias("cases_in_events"),
         *[
-            F.round(100.0 * F.avg(s), 3).alias(f"pct_cases_with_{s.lower()}")
-            for s in statuses
+            F.round(100.0 * F.avg(f"has_{s.lower()}"), 3).alias(f"pct_cases_with_{s.lower()}")
+            for s in COVERED_STATUSES
         ],
     )
 
 
-def triage_before_intake(events: DataFrame, time: str = "event_ts") -> DataFrame:
+def triage_before_intake(profile: DataFrame, time: str = "event_ts") -> DataFrame:
     """Share of cases triaged before intake, by the given time column of the events."""
-    first = {
-        status: F.min(F.when(F.col("status") == status, F.col(time)))
-        for status in ("INTAKE", "TRIAGE")
-    }
-    per_case = (
-        events.groupBy("case_id")
-        .agg(first["INTAKE"].alias("intake"), first["TRIAGE"].alias("triage"))
-        .filter("intake IS NOT NULL AND triage IS NOT NULL")
-    )
-    return per_case.agg(
+    intake, triage = F.col(f"intake_{time}"), F.col(f"triage_{time}")
+    return profile.filter(intake.isNotNull() & triage.isNotNull()).agg(
         F.count("*").alias("cases_with_both"),
-        rate(F.col("triage") < F.col("intake"), 4).alias("pct_triage_before_intake"),
+        rate(triage < intake, 4).alias("pct_triage_before_intake"),
     )
 
 
-def cancelled_and_resolved(events: DataFrame) -> DataFrame:
-    flags = events.groupBy("case_id").agg(
-        _has("CANCELLED").alias("cancelled"), _has("RESOLVED").alias("resolved")
-    )
-    both = (F.col("cancelled") == 1) & (F.col("resolved") == 1)
-    return flags.agg(rate(both, 4).alias("pct_cases_both_cancelled_and_resolved"))
+def cancelled_and_resolved(profile: DataFrame) -> DataFrame:
+    both = (F.col("has_cancelled") == 1) & (F.col("has_resolved") == 1)
+    return profile.agg(rate(both, 4).alias("pct_cases_both_cancelled_and_resolved"))
 
 
 def triage_before_intake_after_repair(milestones: DataFrame) -> DataFrame:

@@ -122,9 +122,11 @@ def in_sla_table(facts: DataFrame, mode: str = "inner") -> DataFrame:
     return facts if mode == "left" else facts.filter("is_measured")
 
 
-def case_sla_metrics(facts: DataFrame, mode: str = "inner") -> DataFrame:
+def case_sla_metrics(
+    facts: DataFrame, mode: str = "inner", targets: Targets | None = None
+) -> DataFrame:
     """The SLA table, one row per case."""
-    measures = list(sla_columns(Targets()))
+    measures = [c.alias(name) for name, c in sla_columns(targets or Targets()).items()]
     return in_sla_table(facts, mode).select(
         "case_id",
         "case_type",

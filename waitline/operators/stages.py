@@ -36,5 +36,10 @@ def case_stage_durations(facts: DataFrame, require_wait: bool = True) -> DataFra
     if require_wait:
         passed = passed.filter("has_wait")
     return passed.select(
-        "case_id", "intake_date", "tier", "case_type", "team_tz", *stage_columns()
+        "case_id",
+        "intake_date",
+        "tier",
+        "case_type",
+        "team_tz",
+        *[c.alias(name) for name, c in stage_columns().items()],
     )

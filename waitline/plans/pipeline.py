@@ -14,7 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from waitline import schemas
 from waitline.functions.clock import BusinessClock
-from waitline.operators import drivers, events, facts, flow, marts, milestones, scenarios, sla, stages
+from waitline.operators import (
+    drivers,
+    events,
+    facts,
+    flow,
+    marts,
+    milestones,
+    quality,
+    scenarios,
+    sla,
+    stages,
+)
 from waitline.operators.ranking import with_tiles
 from waitline.plans.store import Store
 from waitline.settings import Settings
@@ -94,6 +105,11 @@ class Pipeline:
     def events_clean(self) -> DataFrame:
         return events.clean(self.events_deduped)
 
+    @cached_property
+    def case_profile(self) -> DataFrame:
+        """What the quality figures need to know per case, stored."""
+        return self.store.keep("case_profile", quality.case_profile(self.timed_events))
+
     # Cases
 
     @cached_property
@@ -104,10 +120,11 @@ class Pipeline:
 
     @cached_property
     def repaired(self) -> DataFrame:
-        firsts = self.store.keep(
-            "first_times", milestones.first_times(self.inputs.cases, self.timed_events)
+        firsts = milestones.first_times(self.inputs.cases, self.timed_events)
+        placed = facts.with_unrepaired_positions(firsts, self.clock)
+        return milestones.repaired_times(
+            self.store.keep("first_times", placed), self.timed_events
         )
-        return milestones.repaired_times(firsts, self.timed_events)
 
     @cached_property
     def case_milestones(self) -> DataFrame:
@@ -123,9 +140,7 @@ class Pipeline:
     @cached_property
     def case_facts(self) -> DataFrame:
         """The wide case table, exposure included."""
-        wide = facts.case_facts(
-            self.repaired, self.wait_minutes, self.clock, self.settings.targets
-        )
+        wide = facts.case_facts(self.repaired, self.wait_minutes, self.clock)
         running = self.store.keep(
             "flow_running", flow.flow_running(self.congestion_daily_v2, self.clock)
         )
@@ -136,12 +151,17 @@ class Pipeline:
 
     @cached_property
     def measured(self) -> DataFrame:
-        """Rows of the wide table that belong to the SLA table."""
-        return sla.in_sla_table(self.case_facts, self.settings.sla_mode)
+        """Rows of the wide table that belong to the SLA table, with their metrics."""
+        rows = sla.in_sla_table(self.case_facts, self.settings.sla_mode)
+        return rows.withColumns(
+            {**sla.sla_columns(self.settings.targets), **stages.stage_columns()}
+        )
 
     @cached_property
     def case_sla_metrics(self) -> DataFrame:
-        return sla.case_sla_metrics(self.case_facts, self.settings.sla_mode)
+        return sla.case_sla_metrics(
+            self.case_facts, self.settings.sla_mode, self.settings.targets
+        )
 
     @cached_property
     def case_stage_durations(self) -> DataFrame:
