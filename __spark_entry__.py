@@ -41,7 +41,7 @@ def _shared(application: str, sf_dir: str, variant: str) -> Pipeline:
     spark = SparkSession.active()
     store = Store(spark)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return Pipeline(Inputs.from_orders(orders).kept(store), store)
+    return Pipeline(Inputs.from_orders(orders, store), store)
 
 
 def _pipeline(spark: SparkSession, sf_dir: str, variant: str = "default") -> Pipeline:

@@ -16,7 +16,7 @@ ORDERS = "/root/testdata/sf0.001/orders.parquet"
 @pytest.fixture(scope="module")
 def pipeline(spark):
     store = Store(spark)
-    return Pipeline(Inputs.from_orders(spark.read.parquet(ORDERS)).kept(store), store)
+    return Pipeline(Inputs.from_orders(spark.read.parquet(ORDERS), store), store)
 
 
 def _plan(df) -> str:

@@ -3,22 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 Keep = Callable[[str, DataFrame], DataFrame]
 
 
+def tile_positions(rows: int, tiles: int) -> list[int]:
+    """Where the tiles from 2 on begin, counted from 0: equal sizes, the first ones one larger."""
+    size, larger = divmod(rows, tiles)
+    begins = [k * size + min(k, larger) for k in range(1, tiles)]
+    return [b for b in begins if b < rows]
+
+
 def tile_starts(
     df: DataFrame, value: str, tie: str, tiles: int, keep: Keep, name: str = "tile_order"
-) -> DataFrame:
+) -> list[Row]:
     """The first (value, tie) of the tiles from 2 on, at most ``tiles - 1`` rows.
 
     ``value`` and ``tie`` together must be unique and not NULL. The pair is
-    range-partitioned and stored with its partition number; the row counts per
-    partition tell in which one each tile begins, and only those few, each the
-    size of one task's share, are ranked.
+    range-partitioned and stored with its partition number. The row counts, one
+    per partition, tell in which one each tile begins; only those few, each the
+    size of one task's share, are read again and ranked.
     """
     ordered = keep(
         name,
@@ -26,38 +34,26 @@ def tile_starts(
         .repartitionByRange("value", "tie")
         .withColumn("part", F.spark_partition_id()),
     )
-    everything = Window.partitionBy()
-    parts = (
-        ordered.groupBy("part")
-        .agg(F.count("*").alias("rows"))
-        .withColumn(
-            "before",
-            F.sum("rows").over(Window.orderBy("part")) - F.col("rows"),
-        )
-        .withColumn("total", F.sum("rows").over(everything))
-    )
-    # Tiles take total // tiles rows each, the first total % tiles of them one more.
-    tile = F.explode(F.sequence(F.lit(2), F.lit(tiles)))
-    starts = (
-        parts.withColumn("tile", tile)
-        .withColumn(
-            "position",
-            (F.col("tile") - 1) * F.floor(F.col("total") / tiles)
-            + F.least(F.col("tile") - 1, F.col("total") % tiles),
-        )
-        .filter(
-            (F.col("position") >= F.col("before"))
-            & (F.col("position") < F.col("before") + F.col("rows"))
-        )
-        .select("part", "tile", (F.col("position") - F.col("before") + 1).alias("place"))
-    )
-    # At most tiles - 1 rows.
-    few = F.broadcast(starts)
-    ranked = ordered.join(few.select("part").distinct(), "part", "left_semi").withColumn(
-        "place",
-        F.row_number().over(Window.partitionBy("part").orderBy("value", "tie")),
+    counts = sorted(ordered.groupBy("part").agg(F.count("*").alias("n")).collect())
+    ends = list(accumulate(n for _, n in counts))
+    places: dict[int, list[int]] = {}
+    for begin in tile_positions(ends[-1] if ends else 0, tiles):
+        inside = next(i for i, end in enumerate(ends) if begin < end)
+        part, n = counts[inside]
+        places.setdefault(part, []).append(begin - (ends[inside] - n) + 1)
+    if not places:
+        return []
+    wanted = F.lit(False)
+    for part, ranks in places.items():
+        wanted = wanted | ((F.col("part") == part) & F.col("place").isin(ranks))
+    in_part = Window.partitionBy("part").orderBy("value", "tie")
+    return (
+        ordered.filter(F.col("part").isin(list(places)))
+        .withColumn("place", F.row_number().over(in_part))
+        .filter(wanted)
+        .select("value", "tie")
+        .collect()
     )
-    return ranked.join(few, ["part", "place"]).select("tile", "value", "tie")
 
 
 def with_tiles(
@@ -72,11 +68,10 @@ def with_tiles(
     """Number the rows 1 to ``tiles`` by ascending value, ties by ``tie``.
 
     A row's tile is one more than the number of later tiles whose first row is not
-    beyond it. Those first rows, at most ``tiles - 1``, are read once; the table
-    itself is neither sorted nor shuffled.
+    beyond it. So the table itself is neither sorted nor shuffled.
     """
     tile = F.lit(1)
-    for start in tile_starts(df, value, tie, tiles, keep, name).collect():
+    for start in tile_starts(df, value, tie, tiles, keep, name):
         reached = (F.col(value) > start.value) | (
             (F.col(value) == start.value) & (F.col(tie) >= start.tie)
         )

@@ -43,19 +43,22 @@ class Inputs:
     staffing: DataFrame
 
     @classmethod
-    def from_orders(cls, orders: DataFrame, settings: Settings | None = None) -> Inputs:
-        """Fixture inputs: cases and events from orders, the calendar from their dates."""
+    def from_orders(
+        cls, orders: DataFrame, store: Store, settings: Settings | None = None
+    ) -> Inputs:
+        """Fixture inputs, stored: cases and events from orders, the calendar from their dates."""
         settings = settings or Settings()
         tasks = orders.sparkSession.sparkContext.defaultParallelism
         # A few files would be read by as few tasks; a large table has many.
         spread = orders.repartition(tasks) if len(orders.inputFiles()) < tasks else orders
-        cases = fixture.cases_from_orders(spread)
-        calendar = calendars.calendar_around(orders, "o_orderdate")
+        cases = store.keep("cases", fixture.cases_from_orders(spread))
+        calendar = store.keep("calendar_dim", calendars.calendar_around(cases, "intake_date"))
+        schedule = staffing.staffing_schedule(calendar, settings.staffing)
         return cls(
             cases=cases,
-            events_log=fixture.events_from_cases(cases),
+            events_log=store.keep("events_log", fixture.events_from_cases(cases)),
             calendar=calendar,
-            staffing=staffing.staffing_schedule(calendar, settings.staffing),
+            staffing=store.keep("staffing_schedule", schedule),
         )
 
     @classmethod
@@ -74,16 +77,6 @@ class Inputs:
             ]
         )
 
-    def kept(self, store: Store) -> Inputs:
-        """The same tables, stored."""
-        calendar = store.keep("calendar_dim", self.calendar)
-        return Inputs(
-            cases=store.keep("cases", self.cases),
-            events_log=store.keep("events_log", self.events_log),
-            calendar=calendar,
-            staffing=store.keep("staffing_schedule", self.staffing),
-        )
-
 
 class Pipeline:
     def __init__(self, inputs: Inputs, store: Store, settings: Settings | None = None):
