@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
-from functools import cache
+from functools import cache, reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,7 @@ import oracles  # noqa: E402
 from waitline import schemas  # noqa: E402
 from waitline.functions.clock import to_team_time  # noqa: E402
 from waitline.operators import events, marts, milestones, quality, scenarios, sla  # noqa: E402
+from waitline.plans import reports  # noqa: E402
 from waitline.plans.pipeline import Inputs, Pipeline  # noqa: E402
 from waitline.plans.store import Store  # noqa: E402
 from waitline.settings import Settings  # noqa: E402
@@ -213,36 +214,15 @@ def _team_time(cases: DataFrame) -> DataFrame:
 
 
 def _output_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts that the steps after staging report."""
     pipeline = _pipeline(spark, sf_dir)
-    labels = {
-        "case_sla_metrics": "case_sla_metrics",
-        "mart_sla_daily": "sla_daily",
-        "mart_sla_by_tier_case_type": "sla_by_tier_case_type",
-        "mart_staffing_daily": "staffing_daily",
-        "mart_backlog_daily_proxy": "backlog_daily_proxy",
-        "mart_congestion_daily": "congestion_daily",
-        "case_stage_durations": "case_stage_durations",
-        "driver_congestion_buckets": "driver_congestion_buckets",
-        "driver_reopen_impact": "driver_reopen_impact",
-        "driver_stage_durations": "driver_stage_durations",
-        "driver_summary": "driver_summary",
-        "reopen_penalty_rows": "reopen_penalty",
-        "scenario_results_rows": "scenario_results",
-    }
-    outputs = {label: getattr(pipeline, name) for label, name in labels.items()}
-    return quality.row_counts({"business_minutes_dim": pipeline.clock.minute_spine(), **outputs})
+    steps = ("sla", "marts", "drivers", "scenarios")
+    counts = [reports.STEPS[step](pipeline)["counts"] for step in steps]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def _raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = _pipeline(spark, sf_dir).inputs
-    return quality.row_counts(
-        {
-            "raw.cases": inputs.cases,
-            "raw.events_log": inputs.events_log,
-            "raw.calendar_dim": inputs.calendar,
-            "raw.staffing_schedule": inputs.staffing,
-        }
-    )
+    return reports.raw_quality(_pipeline(spark, sf_dir))["counts"]
 
 
 def queries() -> dict[str, Query]:

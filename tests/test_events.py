@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import datetime as dt
+
 from helpers import events_table, ts
+from pyspark.sql import functions as F
 
 from waitline.operators import events
 
@@ -46,6 +49,19 @@ def test_copies_are_limited_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2
 
 
+def test_a_case_with_a_third_of_the_events_is_spread_over_partitions(spark):
+    rows = [("hot", "TRIAGE", AT + dt.timedelta(seconds=i)) for i in range(1000)]
+    rows += [(f"c{i}", "TRIAGE", AT) for i in range(2000)]
+    deduped = events.dedupe(events_table(spark, rows).repartition(4))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = deduped.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [r["count"] for r in parts]
+    assert sum(sizes) == 3000 and max(sizes) < 2 * 3000 / 8
+
+
 def test_flags(spark):
     log = events_table(
         spark,

@@ -7,6 +7,7 @@ from helpers import cases_table, events_table, ts
 from pyspark.sql import functions as F
 
 from waitline import schemas
+from waitline.plans import reports
 from waitline.plans.pipeline import Inputs, Pipeline
 from waitline.plans.store import Store, shared_folder
 from waitline.sources import calendar, staffing, tables
@@ -121,3 +122,29 @@ def test_pipeline_from_partitioned_parquet_with_text_ids(spark, tmp_path):
     assert two.eligible_cases == 4 and two.baseline_breaches_inc is None
     assert both.breaches_avoided_inc == one.breaches_avoided_inc
     assert pipeline.bottleneck_stage.first().stage == "reviewqa_to_resolved"
+
+    figures = str(tmp_path / "figures")
+    written = reports.write_figures(pipeline, figures)
+    assert len(written) == len(set(written)) == 24
+    rates = spark.read.json(f"{figures}/sla/breach_rates").first()
+    assert rates.sla_b_breach_pct == 0.0
+
+
+def test_files_with_instants_are_read_in_the_team_zone(spark, tmp_path):
+    path = str(tmp_path / "cases")
+    instant = spark.sql("""SELECT 'a' AS case_id, TIMESTAMP '2025-07-01 16:30:00+00:00' AS intake_ts,
+        'x' AS case_type, 'TIER_1' AS tier, 'America/Los_Angeles' AS team_tz,
+        DATE '2025-07-01' AS intake_date""")
+    tables.write_partitioned(instant, path)
+    schema = schemas.cases_schema()
+    with pytest.raises(ValueError, match="intake_ts: expected timestamp_ntz, found timestamp"):
+        tables.read_table(spark, path, schema, "cases")
+    local = tables.read_table(spark, path, schema, "cases", "America/Los_Angeles")
+    assert local.first().intake_ts == ts("2025-07-01 09:30:00")
+
+
+def test_whole_numbers_of_another_width_are_cast(spark):
+    wide = spark.sql("SELECT DATE '2025-07-01' AS cal_date, 1L AS dow, false AS is_weekend, "
+                     "false AS is_holiday, CAST(NULL AS STRING) AS holiday_name")
+    kinds = [(f.name, f.dataType) for f in schemas.require(wide, schemas.CALENDAR, "t").schema]
+    assert kinds == [(f.name, f.dataType) for f in schemas.CALENDAR]

@@ -62,8 +62,13 @@ class Inputs:
         )
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, folder: str) -> Inputs:
-        """The tables as Parquet below a folder, cases and events partitioned by intake date."""
+    def from_parquet(
+        cls, spark: SparkSession, folder: str, team_tz: str | None = None
+    ) -> Inputs:
+        """The tables as Parquet below a folder, cases and events partitioned by intake date.
+
+        ``team_tz`` is the zone of the working hours, for files that hold instants.
+        """
         paths = {
             "cases": schemas.cases_schema(),
             "events_log": schemas.events_schema(),
@@ -72,7 +77,7 @@ class Inputs:
         }
         return cls(
             *[
-                tables.read_table(spark, f"{folder}/{name}", schema, name)
+                tables.read_table(spark, f"{folder}/{name}", schema, name, team_tz)
                 for name, schema in paths.items()
             ]
         )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -57,14 +58,27 @@ STAFFING = _table(
 
 
 def require(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
-    """Return the columns of ``schema`` in order; fail where one is absent or typed otherwise."""
+    """Return the columns of ``schema`` in order; fail where one is absent or typed otherwise.
+
+    Whole numbers of another width are cast.
+    """
     found = {f.name: f.dataType for f in df.schema.fields}
+
+    def fits(have: T.DataType | None, want: T.DataType) -> bool:
+        whole = isinstance(have, T.IntegralType) and isinstance(want, T.IntegralType)
+        return whole or have == want
+
     wrong = [
         f"{f.name}: expected {f.dataType.simpleString()}, found "
         f"{found[f.name].simpleString() if f.name in found else 'nothing'}"
         for f in schema.fields
-        if found.get(f.name) != f.dataType
+        if not fits(found.get(f.name), f.dataType)
     ]
     if wrong:
         raise ValueError(f"{table} does not fit its schema: " + "; ".join(wrong))
-    return df.select(*schema.fieldNames())
+    return df.select(
+        *[
+            F.col(f.name) if found[f.name] == f.dataType else F.col(f.name).cast(f.dataType)
+            for f in schema.fields
+        ]
+    )

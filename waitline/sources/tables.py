@@ -5,21 +5,35 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waitline import schemas
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType, table: str) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType, table: str, team_tz: str | None = None
+) -> DataFrame:
     """Read a Parquet file or folder and hold it against its schema.
 
     A folder partitioned as ``intake_date=2025-07-01`` gives that column as a date.
+    Where the files have instants and the schema wall times, ``team_tz`` names the
+    zone to read the clock in. Pin the session's zone to UTC for that, since an
+    hour that a session's zone skips or repeats is not told apart.
     """
-    reader = spark.read
-    if "intake_date" in schema.fieldNames():
-        # Types only the partition column; the files keep their own and are checked.
-        reader = reader.option("basePath", path)
-    return schemas.require(reader.parquet(path), schema, table)
+    df = spark.read.parquet(path)
+    if team_tz is not None:
+        wall = {f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)}
+        instants = {f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
+        df = df.withColumns(
+            {
+                name: F.convert_timezone(
+                    None, F.lit(team_tz), F.col(name).cast("timestamp_ntz")
+                )
+                for name in sorted(wall & instants)
+            }
+        )
+    return schemas.require(df, schema, table)
 
 
 def write_partitioned(
