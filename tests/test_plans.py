@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from waitline.operators import milestones, sla
+from waitline.operators import facts, milestones, sla
 from waitline.plans.pipeline import Inputs, Pipeline
 from waitline.plans.store import Store
 
@@ -52,6 +52,11 @@ def test_case_tables_are_projections_of_the_stored_one(pipeline):
         assert "Exchange" not in plan and plan.count("FileScan") == 1
 
 
+def test_the_wide_table_is_made_without_a_shuffle(pipeline):
+    plan = _plan(facts.case_facts(pipeline.repaired, pipeline.clock))
+    assert plan.count("BroadcastExchange") == plan.count("Exchange") == 3
+
+
 def test_marts_read_only_their_columns(pipeline, capsys):
     pipeline.sla_by_tier_case_type.explain("formatted")
     plan = capsys.readouterr().out

@@ -1,8 +1,9 @@
 """One wide row per case, from which every case table and mart is a projection.
 
-Building it takes the only join on the case number after the milestones. Later
-steps that combine SLA metrics, stages, reopening and exposure of a case read
-columns of this table and join nothing.
+Joins on the case number happen before, while first times and wait minutes are
+brought to the cases. This table is made without a shuffle, and later steps that
+combine SLA metrics, stages, reopening and exposure of a case read its columns and
+join nothing.
 """
 
 from __future__ import annotations
@@ -27,20 +28,20 @@ REPAIRED = {
 }
 
 
-def with_unrepaired_positions(firsts: DataFrame, clock: BusinessClock) -> DataFrame:
-    """Positions of the times that no repair changes, for ``first_times``.
+def timed_cases(firsts: DataFrame, waits: DataFrame, clock: BusinessClock) -> DataFrame:
+    """``first_times`` with wait minutes and the positions of times that no repair changes.
 
-    Adding these before that table is stored leaves each of the two steps with
-    generated code small enough for the JVM to compile.
+    The rows are still partitioned by case here, so only the waits are shuffled.
+    Placing some of the times now leaves each of the two steps with generated
+    code small enough for the JVM to compile.
     """
-    return clock.with_positions(firsts, UNREPAIRED)
+    return clock.with_positions(firsts.join(waits, "case_id", "left"), UNREPAIRED)
 
 
-def case_facts(repaired: DataFrame, waits: DataFrame, clock: BusinessClock) -> DataFrame:
+def case_facts(repaired: DataFrame, clock: BusinessClock) -> DataFrame:
     """Times, positions and wait minutes per case.
 
-    ``repaired`` comes from ``with_unrepaired_positions`` by ``repaired_times``,
-    ``waits`` from ``wait_minutes``.
+    ``repaired`` comes from ``timed_cases`` by ``repaired_times``.
     ``is_measured`` marks the rows of the SLA table, ``has_all_stages`` and
     ``has_wait`` those of the stage table.
     """
@@ -64,23 +65,20 @@ def case_facts(repaired: DataFrame, waits: DataFrame, clock: BusinessClock) -> D
         "cancelled_ts",
         "reopened_first_ts",
         *UNREPAIRED.values(),
+        "customer_wait_business_minutes",
         all_covered("customer_wait_first_ts").alias("has_wait"),
     )
     stage_times = [*UNREPAIRED, "triage_ts", "resolved_first_ts"]
-    return (
-        clock.with_positions(times, REPAIRED)
-        .join(waits, "case_id", "left")
-        .select(
-            *CASE_COLUMNS,
-            "triage_ts",
-            "resolved_ts",
-            "cancelled_ts",
-            "reopened_first_ts",
-            *UNREPAIRED.values(),
-            *REPAIRED.values(),
-            "customer_wait_business_minutes",
-            all_covered("intake_ts", "triage_ts", "resolved_ts").alias("is_measured"),
-            all_covered(*stage_times).alias("has_all_stages"),
-            "has_wait",
-        )
+    return clock.with_positions(times, REPAIRED).select(
+        *CASE_COLUMNS,
+        "triage_ts",
+        "resolved_ts",
+        "cancelled_ts",
+        "reopened_first_ts",
+        *UNREPAIRED.values(),
+        *REPAIRED.values(),
+        "customer_wait_business_minutes",
+        all_covered("intake_ts", "triage_ts", "resolved_ts").alias("is_measured"),
+        all_covered(*stage_times).alias("has_all_stages"),
+        "has_wait",
     )

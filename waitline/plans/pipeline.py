@@ -1,7 +1,7 @@
 """The whole analysis as a chain of tables, each made when first asked for.
 
-Stored are the inputs, the first times per case, the wait minutes, the wide case
-table and the calendar-sized flow tables. Everything else is a projection or an
+Stored are the wait minutes, the first times per case, the wide case table and the
+calendar-sized tables. Everything else is a projection or an
 aggregate of those.
 """
 
@@ -119,10 +119,11 @@ class Pipeline:
     @cached_property
     def repaired(self) -> DataFrame:
         firsts = milestones.first_times(self.inputs.cases, self.timed_events)
-        placed = facts.with_unrepaired_positions(firsts, self.clock)
-        return milestones.repaired_times(
-            self.store.keep("first_times", placed), self.timed_events
+        timed = self.store.keep(
+            f"timed_cases_{self.settings.sla_mode}",
+            facts.timed_cases(firsts, self.wait_minutes, self.clock),
         )
+        return milestones.repaired_times(timed, self.timed_events)
 
     @cached_property
     def case_milestones(self) -> DataFrame:
@@ -138,7 +139,7 @@ class Pipeline:
     @cached_property
     def case_facts(self) -> DataFrame:
         """The wide case table, exposure included."""
-        wide = facts.case_facts(self.repaired, self.wait_minutes, self.clock)
+        wide = facts.case_facts(self.repaired, self.clock)
         running = self.store.keep(
             "flow_running", flow.flow_running(self.congestion_daily_v2, self.clock)
         )
