@@ -60,15 +60,12 @@ def covered_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame, lines: int = LINES) -> DataFrame:
+def lines_removed(docs: DataFrame, covered: DataFrame) -> DataFrame:
     """Each row as a struct ``doc``, with ``clean`` text, ``n_lines`` and ``n_removed``.
 
-    ``docs`` has doc_id and text; other columns stay inside the struct. Rows equal in doc_id and
-    text are one document and get the same result. Texts of fewer than ``lines`` lines, empty
-    and null ones stay as they are. Lines are compared exactly. A text of which all lines are
-    covered becomes empty.
+    ``covered`` has the line numbers to remove by doc_id and ``print``, the text's fingerprint.
     """
-    covered = covered_lines(docs, lines).select(
+    gone = covered.select(
         F.col("doc_id").alias("of_id"), F.col("print").alias("of_print"), "covered"
     )
     rows = docs.select(
@@ -78,7 +75,7 @@ def deduplicated(docs: DataFrame, lines: int = LINES) -> DataFrame:
         _fingerprint(F.col("text")).alias("print"),
     )
     joined = rows.join(
-        covered,
+        gone,
         F.col("id").eqNullSafe(F.col("of_id")) & (F.col("print") == F.col("of_print")),
         "left",
     )
@@ -94,17 +91,31 @@ def deduplicated(docs: DataFrame, lines: int = LINES) -> DataFrame:
     )
 
 
-def without_repeated_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """``docs`` with the cleaned text, and n_chars, if there, counted again."""
-    result = deduplicated(docs, lines)
+def with_text(docs: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """The columns of ``docs`` with the clean text, and n_chars, if there, counted again."""
     columns = []
     for name in docs.columns:
+        column = F.col("doc").getField(name)
         if name == "text":
-            columns.append(F.col("clean").alias("text"))
+            column = F.col("clean")
         elif name == "n_chars":
             kind = docs.schema["n_chars"].dataType
-            counted = F.when(F.col("n_removed") > 0, F.length("clean").cast(kind))
-            columns.append(F.coalesce(counted, F.col("doc.n_chars")).alias("n_chars"))
-        else:
-            columns.append(F.col("doc").getField(name).alias(name))
-    return result.select(*columns)
+            column = F.when(F.col("n_removed") > 0, F.length("clean").cast(kind)).otherwise(column)
+        columns.append(column.alias(name))
+    return cleaned.select(*columns)
+
+
+def deduplicated(docs: DataFrame, lines: int = LINES) -> DataFrame:
+    """Each row as a struct ``doc``, with ``clean`` text, ``n_lines`` and ``n_removed``.
+
+    ``docs`` has doc_id and text; other columns stay inside the struct. Rows equal in doc_id and
+    text are one document and get the same result. Texts of fewer than ``lines`` lines, empty
+    and null ones stay as they are. Lines are compared exactly. A text of which all lines are
+    covered becomes empty.
+    """
+    return lines_removed(docs, covered_lines(docs, lines))
+
+
+def without_repeated_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
+    """``docs`` with the cleaned text, and n_chars, if there, counted again."""
+    return with_text(docs, deduplicated(docs, lines))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitline.llm import line_dedup, mixing, pieces, quality
+from waitline.llm import line_dedup, mixing, ngram_join, pieces, quality, substring_dedup
 from waitline.llm.staging import stage
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -55,10 +55,22 @@ def piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.clusters(_read(spark, sf_dir, "documents")).drop("print")
+
+
+def ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(_read(spark, sf_dir, "documents")).select(
+        "doc.doc_id", "n_shingles", "component_id"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": mixing_plan,
         "op2_line_dedup": line_dedup_texts,
         "op3_quality_rules": quality_verdicts,
+        "op9_substring_dedup": repeated_passages,
+        "op10_ngram_join": ngram_components,
         "op8_sentencepiece": piece_round_trip,
     }
