@@ -13,7 +13,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
+HERE = str(Path(__file__).resolve().parent)
+sys.path.insert(0, HERE)
 
 import oracles  # noqa: E402
 from waitline import schemas  # noqa: E402
@@ -236,13 +237,23 @@ def _optional(module: str):
     return importlib.import_module(module) if present else None
 
 
+def _with_package(query: Query) -> Query:
+    """The query, with this folder on the path of the Python workers."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", HERE)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def _text_queries() -> dict[str, Query]:
     found = {}
     if registered := _optional("waitline.llm.queries"):
         found |= registered.queries()
     if corpus := _optional("corpus_pipeline"):
         found["pipeline"] = corpus.run
-    return found
+    return {name: _with_package(query) for name, query in found.items()}
 
 
 def _text_sql() -> dict[str, str]:
