@@ -8,10 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitline.llm import line_dedup, mixing, ngram_join, pieces, quality, substring_dedup
+from waitline.llm import (
+    line_dedup,
+    mixing,
+    ngram_join,
+    pieces,
+    quality,
+    substring_dedup,
+    token_counts,
+)
 from waitline.llm.staging import stage
 
+BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+MOST_TOKENS = 512
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -45,6 +55,13 @@ def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    counts = token_counts.counted(docs, BYTE_MODEL, keep=["doc_id"])
+    over = F.col("n_tokens") > MOST_TOKENS
+    return counts.select("doc.doc_id", "n_bytes", "n_tokens", over.alias("over_limit"))
+
+
 def piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pieces.encoded(_read(spark, sf_dir, "documents"), PIECE_MODEL, keep=["doc_id"])
     return pieces.decoded(rows, PIECE_MODEL).select(
@@ -72,5 +89,6 @@ def queries() -> dict[str, Query]:
         "op3_quality_rules": quality_verdicts,
         "op9_substring_dedup": repeated_passages,
         "op10_ngram_join": ngram_components,
+        "op5_token_counts": document_tokens,
         "op8_sentencepiece": piece_round_trip,
     }
