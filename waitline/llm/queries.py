@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitline.llm import (
+    forest,
     line_dedup,
     mixing,
     ngram_join,
@@ -22,6 +23,7 @@ from waitline.llm.staging import stage
 BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 MOST_TOKENS = 512
+QUERY_EVERY = 20
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -62,6 +64,13 @@ def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc.doc_id", "n_bytes", "n_tokens", over.alias("over_limit"))
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "embeddings")
+    return forest.nearest(rows, F.col("vec_id") % QUERY_EVERY == 0).select(
+        "query_id", "rank", F.col("id").alias("vec_id"), "score"
+    )
+
+
 def piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pieces.encoded(_read(spark, sf_dir, "documents"), PIECE_MODEL, keep=["doc_id"])
     return pieces.decoded(rows, PIECE_MODEL).select(
@@ -90,5 +99,6 @@ def queries() -> dict[str, Query]:
         "op9_substring_dedup": repeated_passages,
         "op10_ngram_join": ngram_components,
         "op5_token_counts": document_tokens,
+        "op7_nearest_neighbours": nearest_vectors,
         "op8_sentencepiece": piece_round_trip,
     }
