@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitline.llm import (
+    fixity,
     forest,
     line_dedup,
     mixing,
     ngram_join,
+    page_text,
     pieces,
     quality,
     substring_dedup,
@@ -24,6 +26,7 @@ BYTE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 MOST_TOKENS = 512
 QUERY_EVERY = 20
+DECAY_EVERY = 97
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -57,6 +60,12 @@ def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    texts = page_text.extracted(pages, keep=["page_id", "url"])
+    return texts.select("doc.*", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     counts = token_counts.counted(docs, BYTE_MODEL, keep=["doc_id"])
@@ -64,6 +73,28 @@ def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc.doc_id", "n_bytes", "n_tokens", over.alias("over_limit"))
 
 
+def archive_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit an archive of all pages against a replica in which some records have decayed.
+
+    In the replica pages whose id leaves 3 by 97 have other bytes of the same length where they
+    have an ``a``, and those whose id leaves 5 are lost.
+    """
+    pages = _read(spark, sf_dir, "pages")
+    left_over = F.col("page_id") % DECAY_EVERY
+    decayed = F.when(left_over == 3, F.translate("html", "a", "b")).otherwise(F.col("html"))
+    here = stage(fixity.warc_index(pages))
+    replica = stage(
+        fixity.warc_index(pages.withColumn("html", decayed)).filter(
+            F.coalesce(left_over != 5, F.lit(True))
+        )
+    )
+    found = fixity.audit(here, replica)
+    places = here.select("page_id", F.col("file").alias("of"), F.col("offset").alias("at"))
+    return found.join(
+        places, (F.col("file") == F.col("of")) & (F.col("offset") == F.col("at"))
+    ).select("page_id", "file", "offset", "length", "status")
+
+
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "embeddings")
     return forest.nearest(rows, F.col("vec_id") % QUERY_EVERY == 0).select(
@@ -98,7 +129,9 @@ def queries() -> dict[str, Query]:
         "op3_quality_rules": quality_verdicts,
         "op9_substring_dedup": repeated_passages,
         "op10_ngram_join": ngram_components,
+        "op4_page_text": page_texts,
         "op5_token_counts": document_tokens,
+        "op6_warc_fixity": archive_audit,
         "op7_nearest_neighbours": nearest_vectors,
         "op8_sentencepiece": piece_round_trip,
     }
