@@ -78,9 +78,9 @@ def _share_of_one_weight(weighted: DataFrame) -> float:
     return share
 
 
-def copies(rate: Column, seed: int, *key: Column) -> Column:
+def copies(rate: Column, seed: int, key: Column) -> Column:
     """floor(rate) copies, and one more with the probability of the fraction."""
-    extra = (chance(seed, *key) < rate - F.floor(rate)).cast("int")
+    extra = (chance(seed, key) < rate - F.floor(rate)).cast("int")
     return (F.floor(rate) + extra).cast("int")
 
 

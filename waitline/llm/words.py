@@ -28,6 +28,7 @@ def word_array(text: Column) -> Column:
     return F.filter(parts, lambda part: part != "")
 
 
-def chance(seed: int, *key: Column) -> Column:
-    """A number in [0, 1) that depends on the seed and the key alone."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *key), 11) * F.lit(2.0**-53)
+def chance(seed: int, key: Column) -> Column:
+    """A number in [0, 1) that depends on the seed and the key, a string, alone."""
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), key)), 1, 13)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(2.0**52)
