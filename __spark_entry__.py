@@ -10,7 +10,7 @@ from functools import cache, reduce
 from importlib.util import find_spec
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HERE = str(Path(__file__).resolve().parent)
@@ -21,9 +21,9 @@ from waitline import schemas  # noqa: E402
 from waitline.functions.clock import to_team_time  # noqa: E402
 from waitline.operators import events, marts, milestones, quality, scenarios, sla  # noqa: E402
 from waitline.plans import reports  # noqa: E402
-from waitline.plans.pipeline import Inputs, Pipeline  # noqa: E402
+from waitline.plans.pipeline import REPORT_ORDER, Inputs, Pipeline  # noqa: E402
 from waitline.plans.store import Store  # noqa: E402
-from waitline.settings import Settings  # noqa: E402
+from waitline.settings import Settings, WorkingHours  # noqa: E402
 from waitline.sources import calendar as calendars  # noqa: E402
 from waitline.sources import tables  # noqa: E402
 
@@ -33,6 +33,7 @@ _VARIANTS = {
     "default": Settings(),
     "left": Settings(sla_mode="left"),
     "all": Settings(stages_require_wait=False),
+    "short": Settings(exposure_days=2, hours=WorkingHours(9, 12)),
 }
 
 
@@ -88,8 +89,7 @@ def _scan_staffing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _by_day(pipeline: Pipeline, df: DataFrame, schema, name: str) -> DataFrame:
     path = _fresh_path(pipeline, name)
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    tables.write_partitioned(df, path, tasks=tasks)
+    tables.write_partitioned(df, path)
     return tables.read_table(df.sparkSession, path, schema, name)
 
 
@@ -108,17 +108,16 @@ def _write_partitioned_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write all days, write the days of the latest year again, count events per day."""
+    """Write all days, write the days of the latest year again, read all of them."""
     pipeline = _pipeline(spark, sf_dir)
     log = pipeline.inputs.events_log.select("event_id", "case_id", "intake_date")
     path = _fresh_path(pipeline, "events_by_day")
-    tasks = spark.sparkContext.defaultParallelism
-    tables.write_partitioned(log, path, tasks=tasks)
+    tables.write_partitioned(log, path)
     latest = log.agg(F.max(F.year("intake_date"))).scalar()
     tables.write_partitioned(
-        log.filter(F.year("intake_date") == latest), path, only_given_days=True, tasks=tasks
+        log.filter(F.year("intake_date") == latest), path, only_given_days=True
     )
-    return spark.read.parquet(path).groupBy("intake_date").agg(F.count("*").alias("events"))
+    return spark.read.schema(log.schema).parquet(path)
 
 
 def _saved_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,12 +138,46 @@ def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _csv_sla_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pipeline = _pipeline(spark, sf_dir)
-    path = _fresh_path(pipeline, "sla_daily_csv")
-    daily = pipeline.sla_daily
-    tables.write_csv(daily, path)
-    return spark.read.option("header", True).schema(daily.schema).csv(path)
+@cache
+def _exported(application: str, sf_dir: str) -> str:
+    """The folder of the exported reports of a session's pipeline."""
+    pipeline = _shared(application, sf_dir, "default")
+    folder = _fresh_path(pipeline, "reports")
+    pipeline.export(folder)
+    return folder
+
+
+def _csv(report: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = _exported(spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
+        schema = getattr(_pipeline(spark, sf_dir), report).schema
+        return spark.read.option("header", True).schema(schema).csv(f"{folder}/{report}")
+
+    return query
+
+
+@cache
+def _published(application: str, sf_dir: str) -> str:
+    """Write the inputs in partitions, read them as a user does, publish; the tables' prefix."""
+    made = _shared(application, sf_dir, "default")
+    folder = _fresh_path(made, "raw")
+    tables.write_partitioned(made.inputs.cases, f"{folder}/cases")
+    tables.write_partitioned(made.inputs.events_log, f"{folder}/events_log")
+    made.inputs.calendar.write.parquet(f"{folder}/calendar_dim")
+    made.inputs.staffing.write.parquet(f"{folder}/staffing_schedule")
+    spark = SparkSession.active()
+    prefix = f"p{uuid.uuid4().hex[:8]}_"
+    read = Inputs.from_parquet(spark, folder, case_id="bigint")
+    Pipeline(read, Store(spark)).publish(prefix, _fresh_path(made, "tables"))
+    return prefix
+
+
+def _from_catalog(table: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prefix = _published(spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
+        return spark.table(f"{prefix}{table}")
+
+    return query
 
 
 def _json_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,19 +236,37 @@ def _terminal_cases(case_milestones: DataFrame) -> DataFrame:
     )
 
 
-def _team_time(cases: DataFrame) -> DataFrame:
-    zone = (
+def _zone_by_tier() -> Column:
+    return (
         F.when(F.col("tier") == "TIER_1", "America/Los_Angeles")
         .when(F.col("tier") == "TIER_2", "America/Denver")
         .otherwise("America/New_York")
     )
-    return cases.select("case_id", zone.alias("team_tz"), "intake_ts").select(
+
+
+def _team_time(cases: DataFrame) -> DataFrame:
+    return cases.select("case_id", _zone_by_tier().alias("team_tz"), "intake_ts").select(
         "case_id",
         "team_tz",
         to_team_time(F.col("intake_ts"), F.col("team_tz")).alias("intake_local_ts"),
     )
 
 
+def _read_in_row_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases written as instants and read by the clock of each row's zone."""
+    pipeline = _pipeline(spark, sf_dir)
+    path = _fresh_path(pipeline, "instants")
+    since = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', intake_ts)")
+    written = pipeline.inputs.cases.withColumns(
+        {"intake_ts": F.timestamp_micros(since), "team_tz": _zone_by_tier()}
+    )
+    tables.write_partitioned(written, path)
+    schema = schemas.cases_schema(written.schema["case_id"].dataType)
+    return tables.read_table(spark, path, schema, "cases", F.col("team_tz")).select(
+        "case_id", "team_tz", F.col("intake_ts").alias("intake_local_ts")
+    )
+
+
 def _output_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts that the steps after staging report."""
     pipeline = _pipeline(spark, sf_dir)
@@ -280,7 +331,11 @@ def _service_queries() -> dict[str, Query]:
         "s4_replace_days": _replace_days,
         "s5_saved_table": _saved_table,
         "s6_csv_export": _csv_export,
-        "s6_csv_sla_daily": _csv_sla_daily,
+        **{f"s6_csv_{report}": _csv(report) for report in REPORT_ORDER},
+        **{
+            f"s5_published_{table}": _from_catalog(table)
+            for table in ("events_clean", "case_sla_metrics", "scenario_results")
+        },
         "s7_json_metrics": _json_metrics,
         "s8_calendar": _calendar(strictly_after_first=False),
         "s8_calendar_after_first": _calendar(strictly_after_first=True),
@@ -342,7 +397,9 @@ def _service_queries() -> dict[str, Query]:
         "a9_reopened_cases": _on(scenarios.reopened_cases, "raw.events_log"),
         "a10_reopen_penalty": _table("reopen_penalty"),
         "a10_reopen_penalty_all": _table("reopen_penalty", variant="all"),
+        "a7_case_sla_metrics_short": _table("case_sla_metrics", variant="short"),
         "a11_congestion_exposure": _table("case_congestion_exposure"),
+        "a11_congestion_exposure_short": _table("case_congestion_exposure", variant="short"),
         # Marts
         "m1_sla_daily": _table("sla_daily"),
         "m1_sla_daily_left": _table("sla_daily", variant="left"),
@@ -360,6 +417,7 @@ def _service_queries() -> dict[str, Query]:
         "m11_scenario_results_all": _table("scenario_results", variant="all"),
         # Scalar functions
         "f12_team_time": _on(_team_time, "raw.cases"),
+        "f12_read_in_row_zone": _read_in_row_zone,
         # Quality and headline figures
         "q1_row_counts": _raw_counts,
         "q2_intake_coverage": _on(quality.intake_coverage, "raw.cases"),

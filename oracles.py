@@ -1,7 +1,7 @@
 """What every registered query should return, as SQL for DuckDB on the given tables.
 
-The SQL takes the long way round on purpose: a real table of open minutes, as-of
-joins onto it, a range join for exposure, and window functions over whole tables.
+The SQL takes the long way round on purpose: a real table of open minutes that is counted,
+range joins for waits and exposure, and window functions over whole tables.
 """
 
 from __future__ import annotations
@@ -142,44 +142,39 @@ TABLES = {
                  AS next_ts FROM marks)
         WHERE status = 'CUSTOMER_WAIT'""",
     "wait_minutes": """
-        SELECT case_id, CAST(sum(greatest(0, e.minute_idx + (e.minute_ts < cw_end_ts)::INT
-                                  - s.minute_idx - (s.minute_ts < cw_start_ts)::INT)) AS BIGINT)
-                 AS customer_wait_business_minutes
+        SELECT case_id, count(minute_ts) AS customer_wait_business_minutes
         FROM wait_intervals
-        ASOF JOIN spine s ON cw_start_ts >= s.minute_ts
-        ASOF JOIN spine e ON cw_end_ts >= e.minute_ts
+        LEFT JOIN spine ON minute_ts >= cw_start_ts AND minute_ts < cw_end_ts
+        WHERE cw_end_ts IS NOT NULL AND cw_start_ts >= (SELECT min(s.minute_ts) FROM spine s)
         GROUP BY case_id""",
     "wait_minutes_left": """
-        SELECT case_id, CAST(sum(ifnull(greatest(0, ifnull(e.minute_idx, -1)
-                                   + (ifnull(e.minute_ts, DATE '1900-01-01') < cw_end_ts)::INT
-                                   - ifnull(s.minute_idx, -1)
-                                   - (ifnull(s.minute_ts, DATE '1900-01-01') < cw_start_ts)::INT),
-                                 0)) AS BIGINT) AS customer_wait_business_minutes
+        SELECT case_id, count(minute_ts) AS customer_wait_business_minutes
         FROM wait_intervals
-        ASOF LEFT JOIN spine s ON cw_start_ts >= s.minute_ts
-        ASOF LEFT JOIN spine e ON cw_end_ts >= e.minute_ts
+        LEFT JOIN spine ON minute_ts >= cw_start_ts AND minute_ts < cw_end_ts
         WHERE cw_end_ts IS NOT NULL
         GROUP BY case_id""",
+    "moments": """
+        SELECT DISTINCT unnest([intake_ts, triage_fixed, resolved_fixed, resolved_any,
+               assignment_ts, investigation_ts, customer_wait_first_ts, review_qa_ts]) AS ts
+        FROM repaired""",
+    "open_before": """
+        SELECT ts, minutes, first_minute FROM (
+          SELECT ts, is_minute, CAST(sum(is_minute) OVER (ORDER BY ts, is_minute
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS minutes,
+                 min(ts) FILTER (is_minute = 1) OVER () AS first_minute
+          FROM (SELECT minute_ts AS ts, 1 AS is_minute FROM spine
+                UNION ALL SELECT ts, 0 FROM moments WHERE ts IS NOT NULL))
+        WHERE is_minute = 0""",
+    "open_within": "SELECT ts, minutes FROM open_before WHERE ts >= first_minute",
     "placed": """
-        SELECT r.*, i.minute_idx + (i.minute_ts < intake_ts)::BIGINT AS intake_at,
-               t.minute_idx + (t.minute_ts < triage_fixed)::BIGINT AS triage_at,
-               f.minute_idx + (f.minute_ts < resolved_fixed)::BIGINT AS resolved_at
-        FROM repaired r
-        ASOF JOIN spine i ON intake_ts >= i.minute_ts
-        ASOF JOIN spine t ON triage_fixed >= t.minute_ts
-        ASOF JOIN spine f ON resolved_fixed >= f.minute_ts""",
+        SELECT r.*, i.minutes AS intake_at, t.minutes AS triage_at, f.minutes AS resolved_at
+        FROM repaired r JOIN open_within i ON intake_ts = i.ts
+        JOIN open_within t ON triage_fixed = t.ts JOIN open_within f ON resolved_fixed = f.ts""",
     "placed_left": """
-        SELECT r.*,
-               IF(i.minute_ts IS NULL, 0, i.minute_idx + (i.minute_ts < intake_ts)::BIGINT)
-                 AS intake_at,
-               CASE WHEN triage_fixed IS NOT NULL THEN
-                 ifnull(t.minute_idx + (t.minute_ts < triage_fixed)::BIGINT, 0) END AS triage_at,
-               CASE WHEN resolved_fixed IS NOT NULL THEN
-                 ifnull(f.minute_idx + (f.minute_ts < resolved_fixed)::BIGINT, 0) END AS resolved_at
-        FROM repaired r
-        ASOF LEFT JOIN spine i ON intake_ts >= i.minute_ts
-        ASOF LEFT JOIN spine t ON triage_fixed >= t.minute_ts
-        ASOF LEFT JOIN spine f ON resolved_fixed >= f.minute_ts""",
+        SELECT r.*, i.minutes AS intake_at, t.minutes AS triage_at, f.minutes AS resolved_at
+        FROM repaired r LEFT JOIN open_before i ON intake_ts = i.ts
+        LEFT JOIN open_before t ON triage_fixed = t.ts
+        LEFT JOIN open_before f ON resolved_fixed = f.ts""",
 }
 
 _METRICS = """
@@ -229,13 +224,8 @@ _STAGES = """
 def _stage_table(extra: dict[str, str]) -> str:
     times = {**_STAGE_TIMES, **extra}
     return _STAGES.format(
-        positions=", ".join(
-            f"{a}.minute_idx + ({a}.minute_ts < m.{ts})::BIGINT AS {a}_at"
-            for a, ts in times.items()
-        ),
-        joins=" ".join(
-            f"ASOF JOIN spine {a} ON m.{ts} >= {a}.minute_ts" for a, ts in times.items()
-        ),
+        positions=", ".join(f"{a}.minutes AS {a}_at" for a in times),
+        joins=" ".join(f"JOIN open_within {a} ON m.{ts} = {a}.ts" for a, ts in times.items()),
     )
 
 
@@ -507,7 +497,7 @@ _QUERIES = {
     "s1_scan_staffing": "SELECT * FROM staffing_schedule",
     "s2_scan_partitioned_cases": "SELECT * FROM cases",
     "s3_write_partitioned_events": "SELECT * FROM events_log",
-    "s4_replace_days": "SELECT intake_date, count(*) AS events FROM events_log GROUP BY ALL",
+    "s4_replace_days": "SELECT event_id, case_id, intake_date FROM events_log",
     "s5_saved_table": "SELECT * FROM sla_by_tier_case_type",
     "s6_csv_export": _counts(
         "sla_daily",
@@ -519,7 +509,17 @@ _QUERIES = {
         "driver_reopen_impact",
         "scenario_results",
     ),
+    "s5_published_events_clean": "SELECT * FROM events_clean",
+    "s5_published_case_sla_metrics": "SELECT * FROM case_sla_metrics",
+    "s5_published_scenario_results": "SELECT * FROM scenario_results",
     "s6_csv_sla_daily": "SELECT * FROM sla_daily",
+    "s6_csv_sla_by_tier_case_type": "SELECT * FROM sla_by_tier_case_type",
+    "s6_csv_staffing_daily": "SELECT * FROM staffing_daily",
+    "s6_csv_backlog_daily_proxy": "SELECT * FROM backlog_daily_proxy",
+    "s6_csv_congestion_daily": "SELECT * FROM congestion_daily",
+    "s6_csv_driver_stage_durations": "SELECT * FROM driver_stage_durations",
+    "s6_csv_driver_reopen_impact": "SELECT * FROM driver_reopen_impact",
+    "s6_csv_scenario_results": "SELECT * FROM scenario_results",
     "s7_json_metrics": _integrity(rounded=True),
     "s8_calendar": "SELECT * FROM calendar_dim",
     "s8_calendar_after_first": """
@@ -579,7 +579,9 @@ _QUERIES = {
     "a9_reopened_cases": "SELECT DISTINCT case_id FROM events_log WHERE status = 'REOPENED'",
     "a10_reopen_penalty": "SELECT * FROM reopen_penalty",
     "a10_reopen_penalty_all": "SELECT * FROM reopen_penalty_all",
+    "a7_case_sla_metrics_short": "SELECT * FROM case_sla_metrics",
     "a11_congestion_exposure": "SELECT * FROM case_congestion_exposure",
+    "a11_congestion_exposure_short": "SELECT * FROM case_congestion_exposure",
     "m1_sla_daily": "SELECT * FROM sla_daily",
     "m1_sla_daily_left": "SELECT * FROM sla_daily_left",
     "m2_sla_by_tier_case_type": "SELECT * FROM sla_by_tier_case_type",
@@ -600,6 +602,12 @@ _QUERIES = {
         FROM (SELECT case_id, intake_ts, CASE tier WHEN 'TIER_1' THEN 'America/Los_Angeles'
                      WHEN 'TIER_2' THEN 'America/Denver' ELSE 'America/New_York' END AS zone
               FROM cases)""",
+    "f12_read_in_row_zone": """
+        SELECT case_id, zone AS team_tz,
+               (intake_ts AT TIME ZONE 'UTC') AT TIME ZONE zone AS intake_local_ts
+        FROM (SELECT case_id, intake_ts, CASE tier WHEN 'TIER_1' THEN 'America/Los_Angeles'
+                     WHEN 'TIER_2' THEN 'America/Denver' ELSE 'America/New_York' END AS zone
+              FROM cases)""",
     "q1_row_counts": _counts(
         "raw.cases=cases",
         "raw.events_log=events_log",
@@ -699,5 +707,18 @@ _QUERIES = {
 }
 
 
+# The SQL of the variant with short days and a short exposure.
+_SHORT = (
+    ("to_minutes(480 + n)", "to_minutes(540 + n)"),
+    ("range(600)", "range(180)"),
+    ("ORDER BY cal_date) <= 10", "ORDER BY cal_date) <= 2"),
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: with_tables(query) for name, query in _QUERIES.items()}
+    found = {name: with_tables(query) for name, query in _QUERIES.items()}
+    for name in found:
+        if name.endswith("_short"):
+            for usual, short in _SHORT:
+                found[name] = found[name].replace(usual, short)
+    return found

@@ -32,14 +32,13 @@ def tables(spark):
     return cases, events.with_canonical_time(events_table(spark, rows)), expected
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0], ids=["broadcast", "salted"])
-def test_repair_takes_the_first_time_at_or_after_intake(tables, store, broadcast_rows):
+def test_repair_takes_the_first_time_at_or_after_intake(tables, store):
     cases, log, expected = tables
     firsts = store.keep("test_firsts", milestones.first_times(cases, log))
     assert firsts.filter(milestones._straddles("triage")).count() > 0
     found = {
         (r.case_id, status): at
-        for r in milestones.repaired_times(firsts, log, broadcast_rows).collect()
+        for r in milestones.repaired_times(firsts, log).collect()
         for status, at in (("TRIAGE", r.triage_fixed), ("RESOLVED", r.resolved_fixed))
     }
     assert found == expected

@@ -58,7 +58,7 @@ def test_partitioned_write_replaces_and_keeps_other_days(spark, tmp_path):
     days = [ts(f"2025-07-0{d} 09:00:00") for d in (1, 2, 3)]
     cases = cases_table(spark, [(f"c{i}", days[i % 3]) for i in range(30)])
     tables.write_partitioned(cases, path)
-    tables.write_partitioned(cases, path, tasks=4)  # a rerun counts nothing twice
+    tables.write_partitioned(cases, path)  # a rerun counts nothing twice
     back = tables.read_table(spark, path, schemas.cases_schema(), "cases")
     assert sorted(back.collect()) == sorted(cases.collect())
     one_day = cases.filter(F.col("intake_date") == days[1].date()).limit(4)
@@ -78,7 +78,10 @@ def test_json_keeps_null_fields(spark, tmp_path):
 def test_store_writes_a_name_once(spark):
     store = Store(spark)
     first = store.keep("t", spark.range(3))
-    assert store.keep("t", spark.range(9)) is first and first.count() == 3
+    assert store.keep("t", spark.range(3)) is first and first.count() == 3
+    assert store.keep("t", spark.range(9)).count() == 9  # another plan, another table
+    store.clear()
+    assert store.keep("t", spark.range(3)) is not first
     assert store.folder.startswith(shared_folder(spark).rstrip("/"))
 
 

@@ -31,8 +31,8 @@ def scaled(value: Column, digits: int) -> Column:
 
 def mean_of_scaled(total: Column, count: Column, digits: int) -> Column:
     """Mean of non-negative scaled integers, rounded half up to ``digits`` without float error."""
-    halves = F.floor((total * 2 + count) / F.nullif(count * 2, F.lit(0)))
-    return halves.cast("double") / float(10**digits)
+    whole = F.call_function("div", total * 2 + count, F.nullif(count * 2, F.lit(0)))
+    return whole.cast("double") / float(10**digits)
 
 
 def value_counts(

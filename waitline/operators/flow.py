@@ -153,7 +153,8 @@ def with_exposure(
     )
     resolved_date = F.col("resolved_ts").cast("date")
     after_end = F.col("intake_date") > F.lit(clock.last_day)
-    first = F.coalesce("_first", F.when(after_end, clock.business_days).otherwise(0))
+    before_start = F.col("intake_date") < F.lit(clock.first_day)
+    first = F.coalesce("_first", F.when(after_end, clock.business_days).when(before_start, 0))
     last = F.coalesce(
         "_last",
         F.when(resolved_date > F.lit(clock.last_day), clock.business_days - 1).when(

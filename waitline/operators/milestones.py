@@ -28,10 +28,6 @@ FIRST_TIMES = (
 # Statuses whose first time is repaired: the first at or after intake, if any.
 REPAIRED = (("TRIAGE", "triage"), ("RESOLVED", "resolved"))
 
-# A pending case is an id and a time, so this many stay below some tens of megabytes.
-BROADCAST_ROWS = 500_000
-SALTS = 16
-
 
 def first_times(cases: DataFrame, events: DataFrame) -> DataFrame:
     """Cases with the first time of every status.
@@ -74,24 +70,19 @@ def _known_after_intake(name: str) -> Column:
     )
 
 
-def _look_up(pending: DataFrame, events: DataFrame, broadcast: bool) -> DataFrame:
-    """First repaired time at or after intake for the pending cases, from the events."""
+def _look_up(pending: DataFrame, events: DataFrame) -> DataFrame:
+    """First repaired time at or after intake for the pending cases, from the events.
+
+    The join carries no hint: Spark broadcasts the pending cases if they measure small,
+    and else splits the partitions of busy cases. The minima combine before the shuffle.
+    """
     statuses = [status for status, _ in REPAIRED]
     marks = events.filter(F.col("status").isin(statuses)).select(
         "case_id", "status", "event_ts_canonical"
     )
-    if broadcast:
-        joined = marks.join(F.broadcast(pending), "case_id")
-    else:
-        # Salted by time: a busy case is spread over tasks, its one pending row repeated.
-        salted = pending.withColumn(
-            "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        )
-        joined = marks.withColumn(
-            "salt", F.pmod(F.xxhash64("event_ts_canonical"), F.lit(SALTS)).cast("int")
-        ).join(salted, ["case_id", "salt"])
     return (
-        joined.filter(F.col("event_ts_canonical") >= F.col("intake_ts"))
+        marks.join(pending, "case_id")
+        .filter(F.col("event_ts_canonical") >= F.col("intake_ts"))
         .groupBy("case_id")
         .agg(
             *[
@@ -104,26 +95,19 @@ def _look_up(pending: DataFrame, events: DataFrame, broadcast: bool) -> DataFram
     )
 
 
-def repaired_times(
-    firsts: DataFrame, events: DataFrame, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def repaired_times(firsts: DataFrame, events: DataFrame) -> DataFrame:
     """``first_times`` plus ``triage_fixed`` and ``resolved_fixed``.
 
-    Counts the pending cases, so ``firsts`` should be a stored table. None is
-    the usual answer; a few are broadcast; many are joined by a salted shuffle.
+    Most repairs follow from the first and last time; the pending cases, with three or
+    more events around the intake, are looked up in the events.
     """
     pending = firsts.filter(_straddles("triage") | _straddles("resolved")).select(
         "case_id", "intake_ts"
     )
-    size = pending.count()
-    fixed = firsts
-    if size:
-        found = _look_up(pending, events, broadcast=size <= broadcast_rows)
-        fixed = firsts.join(found, "case_id", "left")
+    fixed = firsts.join(_look_up(pending, events), "case_id", "left")
     for _, name in REPAIRED:
         after = _known_after_intake(name)
-        if size:
-            after = F.when(_straddles(name), F.col(f"{name}_found")).otherwise(after)
+        after = F.when(_straddles(name), F.col(f"{name}_found")).otherwise(after)
         fixed = fixed.withColumn(f"{name}_fixed", F.coalesce(after, F.col(f"{name}_any")))
     extra = [f"{name}_{part}" for _, name in REPAIRED for part in ("last", "events", "found")]
     return fixed.drop(*extra)

@@ -10,7 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from waitline import schemas
 from waitline.functions.clock import BusinessClock
@@ -33,6 +34,42 @@ from waitline.sources import calendar as calendars
 from waitline.sources import fixture, staffing, tables
 
 
+#: The report tables and the columns that order their rows.
+REPORT_ORDER = {
+    "sla_daily": ["intake_date"],
+    "sla_by_tier_case_type": ["tier", "case_type"],
+    "staffing_daily": ["cal_date", "team_tz"],
+    "backlog_daily_proxy": ["cal_date"],
+    "congestion_daily": ["cal_date"],
+    "driver_stage_durations": ["tier"],
+    "driver_reopen_impact": ["tier", "case_type", "is_reopened"],
+    "scenario_results": ["scenario_name"],
+}
+
+#: Staging tables and marts that the analysis leaves in the catalog.
+PUBLISHED = (
+    "events_deduped",
+    "events_clean",
+    "case_milestones",
+    "business_minutes_dim",
+    "case_sla_metrics",
+    "case_stage_durations",
+    "case_congestion_exposure",
+    "reopen_penalty",
+    "sla_daily",
+    "sla_by_tier_case_type",
+    "staffing_daily",
+    "backlog_daily_proxy",
+    "congestion_daily",
+    "congestion_daily_v2",
+    "driver_congestion_buckets",
+    "driver_reopen_impact",
+    "driver_stage_durations",
+    "driver_summary",
+    "scenario_results",
+)
+
+
 @dataclass(frozen=True)
 class Inputs:
     """The four tables the analysis starts from."""
@@ -48,10 +85,7 @@ class Inputs:
     ) -> Inputs:
         """Fixture inputs, stored: cases and events from orders, the calendar from their dates."""
         settings = settings or Settings()
-        tasks = orders.sparkSession.sparkContext.defaultParallelism
-        # A few files would be read by as few tasks; a large table has many.
-        spread = orders.repartition(tasks) if len(orders.inputFiles()) < tasks else orders
-        cases = store.keep("cases", fixture.cases_from_orders(spread))
+        cases = store.keep("cases", fixture.cases_from_orders(orders.hint("rebalance")))
         calendar = store.keep("calendar_dim", calendars.calendar_around(cases, "intake_date"))
         schedule = staffing.staffing_schedule(calendar, settings.staffing)
         return cls(
@@ -63,22 +97,30 @@ class Inputs:
 
     @classmethod
     def from_parquet(
-        cls, spark: SparkSession, folder: str, team_tz: str | None = None
+        cls,
+        spark: SparkSession,
+        folder: str,
+        team_tz: str | Column | None = None,
+        event_tz: str | Column | None = None,
+        case_id: str = "string",
     ) -> Inputs:
         """The tables as Parquet below a folder, cases and events partitioned by intake date.
 
-        ``team_tz`` is the zone of the working hours, for files that hold instants.
+        For files that hold instants, ``team_tz`` is the zone of the working hours: one
+        name for all, or the column of the cases that has it. ``event_tz`` is the same
+        for events, and ``team_tz`` if it is not given. ``case_id`` is the type of the id.
         """
+        kind = T.LongType() if case_id == "bigint" else T.StringType()
         paths = {
-            "cases": schemas.cases_schema(),
-            "events_log": schemas.events_schema(),
-            "calendar_dim": schemas.CALENDAR,
-            "staffing_schedule": schemas.STAFFING,
+            "cases": (schemas.cases_schema(kind), team_tz),
+            "events_log": (schemas.events_schema(kind), event_tz or team_tz),
+            "calendar_dim": (schemas.CALENDAR, None),
+            "staffing_schedule": (schemas.STAFFING, None),
         }
         return cls(
             *[
-                tables.read_table(spark, f"{folder}/{name}", schema, name, team_tz)
-                for name, schema in paths.items()
+                tables.read_table(spark, f"{folder}/{name}", schema, name, zone)
+                for name, (schema, zone) in paths.items()
             ]
         )
 
@@ -97,7 +139,8 @@ class Pipeline:
 
     @cached_property
     def events_deduped(self) -> DataFrame:
-        return events.dedupe(self.inputs.events_log)
+        """The log without copies, stored: it is shuffled once for all that read it."""
+        return self.store.keep("events_deduped", events.dedupe(self.inputs.events_log))
 
     @cached_property
     def events_clean(self) -> DataFrame:
@@ -116,6 +159,10 @@ class Pipeline:
             self.inputs.calendar, self.settings.hours, self.store.keep
         )
 
+    @property
+    def business_minutes_dim(self) -> DataFrame:
+        return self.clock.minute_spine()
+
     @cached_property
     def repaired(self) -> DataFrame:
         firsts = milestones.first_times(self.inputs.cases, self.timed_events)
@@ -174,11 +221,13 @@ class Pipeline:
 
     @cached_property
     def sla_daily(self) -> DataFrame:
-        return marts.sla_daily(self.case_sla_metrics)
+        return self.store.keep("sla_daily", marts.sla_daily(self.case_sla_metrics))
 
     @cached_property
     def sla_by_tier_case_type(self) -> DataFrame:
-        return marts.sla_by_tier_case_type(self.case_sla_metrics)
+        return self.store.keep(
+            "sla_by_tier_case_type", marts.sla_by_tier_case_type(self.case_sla_metrics)
+        )
 
     @cached_property
     def staffing_daily(self) -> DataFrame:
@@ -229,11 +278,15 @@ class Pipeline:
 
     @cached_property
     def driver_reopen_impact(self) -> DataFrame:
-        return drivers.driver_reopen_impact(self.measured)
+        return self.store.keep(
+            "driver_reopen_impact", drivers.driver_reopen_impact(self.measured)
+        )
 
     @cached_property
     def driver_stage_durations(self) -> DataFrame:
-        return drivers.driver_stage_durations(self.case_stage_durations)
+        return self.store.keep(
+            "driver_stage_durations", drivers.driver_stage_durations(self.case_stage_durations)
+        )
 
     @cached_property
     def bottleneck_stage(self) -> DataFrame:
@@ -244,7 +297,9 @@ class Pipeline:
     @cached_property
     def reopen_penalty(self) -> DataFrame:
         reopened = self.measured.filter("reopened_first_ts IS NOT NULL")
-        return scenarios.reopen_penalty(reopened, self.case_stage_durations)
+        return self.store.keep(
+            "reopen_penalty", scenarios.reopen_penalty(reopened, self.case_stage_durations)
+        )
 
     @cached_property
     def scenario_results(self) -> DataFrame:
@@ -256,16 +311,19 @@ class Pipeline:
         )
 
     def export(self, folder: str) -> list[str]:
-        """The eight report tables as CSV below a folder, sorted by their grain; their names."""
-        order = {
-            "sla_daily": ["intake_date"],
-            "sla_by_tier_case_type": ["tier", "case_type"],
-            "staffing_daily": ["cal_date", "team_tz"],
-            "backlog_daily_proxy": ["cal_date"],
-            "congestion_daily": ["cal_date"],
-            "driver_stage_durations": ["tier"],
-            "driver_reopen_impact": ["tier", "case_type", "is_reopened"],
-            "scenario_results": ["scenario_name"],
-        }
-        tables.export_csv({name: getattr(self, name) for name in order}, folder, order)
-        return list(order)
+        """The report tables as CSV below a folder, sorted by their grain; their names."""
+        reports = {name: getattr(self, name) for name in REPORT_ORDER}
+        tables.export_csv(reports, folder, REPORT_ORDER)
+        return list(REPORT_ORDER)
+
+    def publish(self, prefix: str = "", folder: str | None = None) -> list[str]:
+        """Save every table of the analysis in the catalog, replacing it; the tables' names.
+
+        ``folder`` keeps their files there, one folder per table.
+        """
+        names = []
+        for table in PUBLISHED:
+            name = f"{prefix}{table}"
+            tables.save_table(getattr(self, table), name, folder and f"{folder}/{name}")
+            names.append(name)
+        return names

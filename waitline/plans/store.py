@@ -22,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return _own_folder(spark.sparkContext.applicationId)
 
@@ -30,20 +30,35 @@ def shared_folder(spark: SparkSession) -> str:
 class Store:
     """Writes a DataFrame as Parquet under a name, and reads it back from there.
 
-    That cuts the lineage, outlives lost executors, and lets later steps read
-    only the columns they need. A name is written once and then reused.
+    That cuts the lineage, outlives lost executors, and lets later steps read only the
+    columns they need. A table is reused only for a DataFrame of the same plan, which
+    names its inputs and holds the settings; any other gets a table of its own, also
+    under a name that is known.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.folder = f"{(folder or shared_folder(spark)).rstrip('/')}/{uuid.uuid4().hex}"
-        self._tables: dict[str, DataFrame] = {}
+        self._tables: dict[str, list[tuple[DataFrame, DataFrame]]] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
-        if name not in self._tables:
-            df.write.option("compression", "zstd").parquet(self.path(name))
-            self._tables[name] = self.spark.read.schema(df.schema).parquet(self.path(name))
-        return self._tables[name]
+        known = self._tables.setdefault(name, [])
+        for made_from, table in known:
+            if made_from.sameSemantics(df):
+                return table
+        path = self.path(f"{name}-{len(known)}")
+        df.write.option("compression", "zstd").parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        known.append((df, table))
+        return table
+
+    def clear(self) -> None:
+        """Delete everything this store has written. Its tables cannot be read any more."""
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        files.delete(folder, True)
+        self._tables.clear()

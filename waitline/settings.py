@@ -2,21 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from decimal import Decimal
 
-# Case statuses.
-MAIN_FLOW = (
-    "INTAKE",
-    "TRIAGE",
-    "ASSIGNMENT",
-    "INVESTIGATION",
-    "CUSTOMER_WAIT",
-    "REVIEW_QA",
-    "RESOLVED",
-)
-SIDE_STATES = ("REOPENED", "ESCALATED", "CANCELLED")
-
 # Fixed value: marks an event whose zone could not be trusted.
 INCONSISTENT_ZONE = "INCONSISTENT"
 
@@ -42,7 +31,7 @@ class WorkingHours:
 
 @dataclass(frozen=True)
 class Targets:
-    """Service targets in business minutes; more than this is a breach."""
+    """Service targets in business minutes; more than this is a breach. Fixed values."""
 
     first_touch_minutes: int = 120
     first_resolution_minutes: int = 1440
@@ -50,16 +39,26 @@ class Targets:
 
 @dataclass(frozen=True)
 class Staffing:
-    """Planned coverage. Agents are listed Monday to Sunday."""
+    """Planned coverage; agents are listed Monday to Sunday. Fixed values.
+
+    Each shift has its share of the day's agents; the shares sum to 1.
+    """
 
     planned_agents: tuple[int, ...] = (38, 36, 34, 34, 30, 6, 4)
-    # name, first hour, last hour
-    shifts: tuple[tuple[str, int, int], ...] = (("DAY", 8, 16), ("SWING", 10, 18))
-    day_shift_ratio: float = 0.65
+    # name, first hour, last hour, share
+    shifts: tuple[tuple[str, int, int, float], ...] = (
+        ("DAY", 8, 16, 0.65),
+        ("SWING", 10, 18, 0.35),
+    )
     shrinkage_rate: float = 0.22
     deterioration_days: int = 60
     deterioration_floor: float = 0.85
 
+    def __post_init__(self) -> None:
+        total = math.fsum(share for *_, share in self.shifts)
+        if not math.isclose(total, 1.0):
+            raise ValueError(f"the shares of the shifts sum to {total}, not to 1")
+
 
 @dataclass(frozen=True)
 class Scenarios:

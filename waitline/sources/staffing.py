@@ -14,51 +14,45 @@ def staffing_schedule(
 ) -> DataFrame:
     """Shifts of every calendar day.
 
-    Coverage runs down evenly to ``deterioration_floor`` over the last
-    ``deterioration_days`` days of the calendar. Agents are rounded half to even.
+    Coverage goes in a straight line from 1 to ``deterioration_floor`` over the last
+    ``deterioration_days`` days of the calendar; 0 days leave it at 1. Agents are
+    rounded half to even.
     """
     plan = plan or Staffing()
-    swing_ratio = 1.0 - plan.day_shift_ratio
+    names = ("shift_name", "shift_start_hour", "shift_end_hour", "share")
     shifts = F.array(
         *[
-            F.struct(
-                F.lit(name).alias("shift_name"),
-                F.lit(first).alias("shift_start_hour"),
-                F.lit(last).alias("shift_end_hour"),
-                F.lit(plan.day_shift_ratio if name == "DAY" else swing_ratio).alias("ratio"),
-            )
-            for name, first, last in plan.shifts
+            F.struct(*[F.lit(value).alias(name) for name, value in zip(names, shift, strict=True)])
+            for shift in plan.shifts
         ]
     )
-    agents = F.array(*[F.lit(n) for n in plan.planned_agents])
-    days_left = F.datediff(calendar.agg(F.max("cal_date")).scalar(), F.col("cal_date"))
-    worn = 1.0 - days_left / F.lit(float(max(1, plan.deterioration_days)))
-    multiplier = F.when(
-        days_left < plan.deterioration_days, 1.0 - worn * (1.0 - plan.deterioration_floor)
-    ).otherwise(1.0)
-    planned = F.bround(F.get(agents, F.weekday("cal_date")) * F.col("shift.ratio")).cast("int")
-    effective = F.bround(
-        F.col("planned_agents")
-        * (1.0 - plan.shrinkage_rate)
-        * F.col("deterioration_multiplier")
-    ).cast("int")
+    span, floor = float(plan.deterioration_days), plan.deterioration_floor
+    last_day = calendar.agg(F.max("cal_date")).scalar()
+    if span:
+        still = F.least(F.lit(1.0), F.datediff(last_day, "cal_date") / F.lit(span))
+        coverage = 1.0 - (1.0 - still) * (1.0 - floor)
+    else:
+        coverage = F.lit(1.0)
+    of_weekday = F.array(*[F.lit(n) for n in plan.planned_agents])
+    days = calendar.select(
+        F.col("cal_date").alias("shift_date"),
+        F.get(of_weekday, F.weekday("cal_date")).alias("agents"),
+        coverage.alias("deterioration_multiplier"),
+        F.inline(shifts),
+    )
+    present = F.col("planned_agents") * (1.0 - plan.shrinkage_rate)
     return (
-        calendar.select(
-            F.col("cal_date"),
-            multiplier.alias("deterioration_multiplier"),
-            F.explode(shifts).alias("shift"),
+        days.withColumns(
+            {
+                "team_tz": F.lit(team_tz),
+                "shrinkage_rate": F.lit(plan.shrinkage_rate),
+                "planned_agents": F.bround(F.col("agents") * F.col("share")).cast("int"),
+            }
         )
-        .select(
-            F.col("cal_date").alias("shift_date"),
-            F.lit(team_tz).alias("team_tz"),
-            "shift.shift_name",
-            "shift.shift_start_hour",
-            "shift.shift_end_hour",
-            planned.alias("planned_agents"),
-            F.lit(plan.shrinkage_rate).alias("shrinkage_rate"),
-            "deterioration_multiplier",
+        .withColumn(
+            "effective_agents",
+            F.bround(present * F.col("deterioration_multiplier")).cast("int"),
         )
-        .withColumn("effective_agents", effective)
         .select(*schemas.STAFFING.fieldNames())
     )
 

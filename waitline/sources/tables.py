@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,37 +12,41 @@ from waitline import schemas
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, table: str, team_tz: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    table: str,
+    team_tz: str | Column | None = None,
 ) -> DataFrame:
     """Read a Parquet file or folder and hold it against its schema.
 
     A folder partitioned as ``intake_date=2025-07-01`` gives that column as a date.
-    Where the files have instants and the schema wall times, ``team_tz`` names the
-    zone to read the clock in. Pin the session's zone to UTC for that, since an
-    hour that a session's zone skips or repeats is not told apart.
+    Where the files have instants and the schema wall times, ``team_tz`` is the zone to
+    read the clock in: a name, or a column of the files with the zone of each row. The
+    zone of the session plays no part.
     """
     df = spark.read.parquet(path)
     if team_tz is not None:
+        zone = F.lit(team_tz) if isinstance(team_tz, str) else team_tz
         wall = {f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)}
         instants = {f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
         df = df.withColumns(
-            {
-                name: F.convert_timezone(
-                    None, F.lit(team_tz), F.col(name).cast("timestamp_ntz")
-                )
-                for name in sorted(wall & instants)
-            }
+            {name: _wall_time(F.col(name), zone) for name in sorted(wall & instants)}
         )
     return schemas.require(df, schema, table)
 
 
+def _wall_time(instant: Column, zone: Column) -> Column:
+    """What a clock in the zone shows at an instant, by way of its microseconds since 1970."""
+    micros = F.unix_micros(instant)
+    utc = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+        secs=(micros / F.lit(1_000_000)).cast("decimal(18,6)")
+    )
+    return F.convert_timezone(F.lit("UTC"), zone, utc)
+
+
 def write_partitioned(
-    df: DataFrame,
-    path: str,
-    by: str = "intake_date",
-    only_given_days: bool = False,
-    tasks: int | None = None,
-    within: str = "case_id",
+    df: DataFrame, path: str, by: str = "intake_date", only_given_days: bool = False
 ) -> None:
     """Write zstd Parquet in one folder per value of ``by``, replacing what is there.
 
@@ -50,16 +54,11 @@ def write_partitioned(
     refresh of one day leaves the others alone and a rerun counts nothing twice.
 
     The rows of a day are brought together first, and a day much larger than the
-    rest is split: by default in portions of the size Spark is set to, which for
-    little data in many days means one task; ``tasks`` fixes the number instead,
-    dividing by day and ``within`` a day.
+    rest is split, in portions of the size Spark is set to.
     """
-    if tasks is None:
-        arranged = df.hint("rebalance", by)
-    else:
-        arranged = df.repartitionByRange(tasks, by, within)
     (
-        arranged.write.mode("overwrite")
+        df.hint("rebalance", by)
+        .write.mode("overwrite")
         .option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic" if only_given_days else "static")
         .partitionBy(by)
