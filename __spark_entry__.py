@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 HERE = str(Path(__file__).resolve().parent)
 sys.path.insert(0, HERE)
 
+import fixture  # noqa: E402
 import oracles  # noqa: E402
 from waitline import schemas  # noqa: E402
 from waitline.functions.clock import to_team_time  # noqa: E402
@@ -46,7 +47,7 @@ def _shared(application: str, sf_dir: str, variant: str) -> Pipeline:
     spark = SparkSession.active()
     store = Store(spark)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return Pipeline(Inputs.from_orders(orders, store), store)
+    return Pipeline(fixture.inputs_from_orders(orders, store), store)
 
 
 def _pipeline(spark: SparkSession, sf_dir: str, variant: str = "default") -> Pipeline:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+import fixture  # noqa: E402
 from waitline.operators import marts, quality  # noqa: E402
 from waitline.plans.pipeline import Inputs, Pipeline  # noqa: E402
 from waitline.plans.store import Store  # noqa: E402
@@ -42,7 +43,7 @@ def run(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     timed(
         "load",
         lambda: holder.append(
-            Inputs.from_orders(spark.read.parquet(f"{sf_dir}/orders.parquet"), store)
+            fixture.inputs_from_orders(spark.read.parquet(f"{sf_dir}/orders.parquet"), store)
         ),
     )
     inputs = holder[0]

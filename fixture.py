@@ -9,6 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waitline.plans.pipeline import Inputs
+from waitline.plans.store import Store
+from waitline.settings import Settings
+from waitline.sources import calendar as calendars
+from waitline.sources import staffing
+
 # Number, status, earliest minute after intake, spread in minutes.
 STATUS_PLAN = (
     (1, "INTAKE", 0, 1),
@@ -21,6 +27,14 @@ STATUS_PLAN = (
     (8, "REOPENED", 5000, 6000),
     (9, "ESCALATED", 240, 200),
     (10, "CANCELLED", 200, 100),
+    # Three more events around the intake, and a resolution after many business days.
+    (11, "TRIAGE", -500, 60),
+    (12, "TRIAGE", -300, 60),
+    (13, "TRIAGE", 400, 90),
+    (14, "RESOLVED", -400, 60),
+    (15, "RESOLVED", -200, 60),
+    (16, "RESOLVED", 4000, 100),
+    (17, "RESOLVED", 40000, 500),
 )
 
 # Which cases pass a status, as a condition on the case number.
@@ -31,13 +45,36 @@ PASSES = {
     4: "case_id % 83 <> 0",
     5: "case_id % 83 <> 0 AND case_id % 100 < 28",
     6: "case_id % 83 <> 0",
-    7: "case_id % 83 <> 0 AND case_id % 167 <> 0",
+    7: "case_id % 83 <> 0 AND case_id % 167 <> 0 AND case_id % 43 <> 0",
     8: "case_id % 83 <> 0 AND case_id % 21 = 0",
     9: "case_id % 83 <> 0 AND case_id % 29 = 0",
     10: "case_id % 83 = 0",
+    11: "case_id % 37 = 0",
+    12: "case_id % 37 = 0",
+    13: "case_id % 37 = 0",
+    14: "case_id % 83 <> 0 AND case_id % 41 = 0",
+    15: "case_id % 83 <> 0 AND case_id % 41 = 0",
+    16: "case_id % 83 <> 0 AND case_id % 41 = 0",
+    17: "case_id % 83 <> 0 AND case_id % 43 = 0",
 }
 
 
+def inputs_from_orders(
+    orders: DataFrame, store: Store, settings: Settings | None = None
+) -> Inputs:
+    """The four tables, stored: cases and events from orders, the calendar from their dates."""
+    settings = settings or Settings()
+    cases = store.keep("cases", cases_from_orders(orders.hint("rebalance")))
+    calendar = store.keep("calendar_dim", calendars.calendar_around(cases, "intake_date"))
+    schedule = staffing.staffing_schedule(calendar, settings.staffing)
+    return Inputs(
+        cases=cases,
+        events_log=store.keep("events_log", events_from_cases(cases)),
+        calendar=calendar,
+        staffing=store.keep("staffing_schedule", schedule),
+    )
+
+
 def cases_from_orders(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").alias("case_id"),

@@ -33,13 +33,19 @@ TABLES = {
             (4, 'INVESTIGATION', 230, 60), (5, 'CUSTOMER_WAIT', 300, 900),
             (6, 'REVIEW_QA', 700, 2500), (7, 'RESOLVED', 3300, 200),
             (8, 'REOPENED', 5000, 6000), (9, 'ESCALATED', 240, 200),
-            (10, 'CANCELLED', 200, 100)) AS s(seq, status, base, spread)
+            (10, 'CANCELLED', 200, 100), (11, 'TRIAGE', -500, 60), (12, 'TRIAGE', -300, 60),
+            (13, 'TRIAGE', 400, 90), (14, 'RESOLVED', -400, 60), (15, 'RESOLVED', -200, 60),
+            (16, 'RESOLVED', 4000, 100), (17, 'RESOLVED', 40000, 500))
+            AS s(seq, status, base, spread)
         WHERE CASE WHEN s.seq = 1 THEN true
                    WHEN s.seq = 2 THEN c.case_id % 163 <> 0
                    WHEN s.seq = 10 THEN c.case_id % 83 = 0
+                   WHEN s.seq IN (11, 12, 13) THEN c.case_id % 37 = 0
                    WHEN c.case_id % 83 = 0 THEN false
                    WHEN s.seq = 5 THEN c.case_id % 100 < 28
-                   WHEN s.seq = 7 THEN c.case_id % 167 <> 0
+                   WHEN s.seq = 7 THEN c.case_id % 167 <> 0 AND c.case_id % 43 <> 0
+                   WHEN s.seq IN (14, 15, 16) THEN c.case_id % 41 = 0
+                   WHEN s.seq = 17 THEN c.case_id % 43 = 0
                    WHEN s.seq = 8 THEN c.case_id % 21 = 0
                    WHEN s.seq = 9 THEN c.case_id % 29 = 0
                    ELSE true END""",

@@ -6,10 +6,12 @@ import pytest
 from helpers import cases_table, events_table, ts
 from pyspark.sql import functions as F
 
+import fixture
 from waitline import schemas
 from waitline.plans import reports
 from waitline.plans.pipeline import Inputs, Pipeline
 from waitline.plans.store import Store, shared_folder
+from waitline.settings import Settings, Staffing, WorkingHours
 from waitline.sources import calendar, staffing, tables
 
 START = dt.date(2025, 7, 1)
@@ -47,6 +49,43 @@ def test_staffing_rounds_half_to_even_and_runs_down(spark):
         )
 
 
+def test_three_shifts_share_the_agents(spark):
+    plan = Staffing(
+        planned_agents=(40,) * 7,
+        shifts=(("A", 6, 12, 0.25), ("B", 12, 18, 0.25), ("C", 18, 22, 0.5)),
+        deterioration_days=0,
+    )
+    rows = staffing.staffing_schedule(calendar.calendar(spark, START, 3), plan).collect()
+    assert sorted((r.shift_name, r.planned_agents) for r in rows) == sorted(
+        [("A", 10), ("B", 10), ("C", 20)] * 3
+    )
+    assert {r.deterioration_multiplier for r in rows} == {1.0}
+    with pytest.raises(ValueError, match="sum to 0.9"):
+        Staffing(shifts=(("A", 6, 12, 0.4), ("B", 12, 18, 0.5)))
+
+
+def test_settings_and_inputs_do_not_meet_in_a_store(spark):
+    """One store, other settings and other orders: each gets its own tables."""
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    store = Store(spark)
+    usual = Pipeline(fixture.inputs_from_orders(orders, store), store)
+    short = Settings(exposure_days=2, hours=WorkingHours(9, 12))
+    changed = Pipeline(usual.inputs, store, short)
+    alone = Pipeline(fixture.inputs_from_orders(orders, Store(spark)), Store(spark), short)
+
+    def sums(pipeline):
+        return [
+            pipeline.case_congestion_exposure.agg({"biz_days_in_window": "sum"}).first()[0],
+            pipeline.case_sla_metrics.agg(
+                {"first_resolution_business_minutes_including_cw": "sum"}
+            ).first()[0],
+        ]
+
+    assert sums(usual) != sums(changed) == sums(alone)
+    half = fixture.inputs_from_orders(orders.filter("o_orderkey % 2 = 0"), store)
+    assert half.cases.count() < usual.inputs.cases.count()
+
+
 def test_schema_check_names_what_is_wrong(spark):
     df = spark.createDataFrame([("x",)], "cal_date string")
     with pytest.raises(ValueError, match="cal_date: expected date, found string.*dow"):
@@ -142,8 +181,36 @@ def test_files_with_instants_are_read_in_the_team_zone(spark, tmp_path):
     schema = schemas.cases_schema()
     with pytest.raises(ValueError, match="intake_ts: expected timestamp_ntz, found timestamp"):
         tables.read_table(spark, path, schema, "cases")
-    local = tables.read_table(spark, path, schema, "cases", "America/Los_Angeles")
-    assert local.first().intake_ts == ts("2025-07-01 09:30:00")
+    for zone in ("America/Los_Angeles", F.col("team_tz")):
+        local = tables.read_table(spark, path, schema, "cases", zone)
+        assert local.first().intake_ts == ts("2025-07-01 09:30:00")
+
+
+def test_instants_around_a_change_of_clocks(spark, tmp_path):
+    """The hour that New York repeats, read in three zones, whatever the session's zone is."""
+    path = str(tmp_path / "events")
+    zones = ["America/New_York", "UTC", "America/Los_Angeles"]
+    rows = [(f"e{n}{z}", f"2025-11-02 0{5 + n}:30:00.000001+00:00", zones[z])
+            for n in range(2) for z in range(3)]
+    made = spark.createDataFrame(rows, "event_id string, at string, event_tz string").selectExpr(
+        "event_id", "'c' case_id", "'INTAKE' status", "CAST(at AS TIMESTAMP) event_ts",
+        "CAST(at AS TIMESTAMP) ingestion_ts", "event_tz", "false is_duplicate",
+        "false is_late_arriving", "DATE '2025-11-02' intake_date",
+    )
+    made.write.parquet(path)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        read = tables.read_table(
+            spark, path, schemas.events_schema(), "events_log", F.col("event_tz")
+        )
+        found = {r.event_id: r.event_ts for r in read.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    hours = {"e00": 1, "e10": 1, "e01": 5, "e11": 6}
+    for event, hour in hours.items():
+        assert found[event] == ts(f"2025-11-02 0{hour}:30:00.000001")
+    assert found["e02"] == ts("2025-11-01 22:30:00.000001")
 
 
 def test_whole_numbers_of_another_width_are_cast(spark):

@@ -7,7 +7,7 @@ deduplication's shuffle is not needed here.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,16 +95,21 @@ def _look_up(pending: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def repaired_times(firsts: DataFrame, events: DataFrame) -> DataFrame:
+def repaired_times(
+    firsts: DataFrame,
+    events: DataFrame,
+    keep: Callable[[str, DataFrame], DataFrame] = lambda _, df: df,
+) -> DataFrame:
     """``first_times`` plus ``triage_fixed`` and ``resolved_fixed``.
 
     Most repairs follow from the first and last time; the pending cases, with three or
-    more events around the intake, are looked up in the events.
+    more events around the intake, are looked up in the events. ``keep`` may store
+    these few, so that Spark knows their size when it plans the joins.
     """
-    pending = firsts.filter(_straddles("triage") | _straddles("resolved")).select(
-        "case_id", "intake_ts"
-    )
-    fixed = firsts.join(_look_up(pending, events), "case_id", "left")
+    straddling = firsts.filter(_straddles("triage") | _straddles("resolved"))
+    pending = keep("repair_pending", straddling.select("case_id", "intake_ts"))
+    found = keep("repair_found", _look_up(pending, events))
+    fixed = firsts.join(found, "case_id", "left")
     for _, name in REPAIRED:
         after = _known_after_intake(name)
         after = F.when(_straddles(name), F.col(f"{name}_found")).otherwise(after)

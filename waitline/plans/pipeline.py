@@ -30,8 +30,7 @@ from waitline.operators import (
 from waitline.operators.ranking import with_tiles
 from waitline.plans.store import Store
 from waitline.settings import Settings
-from waitline.sources import calendar as calendars
-from waitline.sources import fixture, staffing, tables
+from waitline.sources import staffing, tables
 
 
 #: The report tables and the columns that order their rows.
@@ -79,22 +78,6 @@ class Inputs:
     calendar: DataFrame
     staffing: DataFrame
 
-    @classmethod
-    def from_orders(
-        cls, orders: DataFrame, store: Store, settings: Settings | None = None
-    ) -> Inputs:
-        """Fixture inputs, stored: cases and events from orders, the calendar from their dates."""
-        settings = settings or Settings()
-        cases = store.keep("cases", fixture.cases_from_orders(orders.hint("rebalance")))
-        calendar = store.keep("calendar_dim", calendars.calendar_around(cases, "intake_date"))
-        schedule = staffing.staffing_schedule(calendar, settings.staffing)
-        return cls(
-            cases=cases,
-            events_log=store.keep("events_log", fixture.events_from_cases(cases)),
-            calendar=calendar,
-            staffing=store.keep("staffing_schedule", schedule),
-        )
-
     @classmethod
     def from_parquet(
         cls,
@@ -170,7 +153,7 @@ class Pipeline:
             f"timed_cases_{self.settings.sla_mode}",
             facts.timed_cases(firsts, self.wait_minutes, self.clock),
         )
-        return milestones.repaired_times(timed, self.timed_events)
+        return milestones.repaired_times(timed, self.timed_events, self.store.keep)
 
     @cached_property
     def case_milestones(self) -> DataFrame:
