@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BYTES = 4 << 20
+BYTES = 2 << 20
 
 
 def slices(

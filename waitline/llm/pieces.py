@@ -19,8 +19,8 @@ from waitline.llm.batches import slices
 
 BLANK = "▁"
 #: Chunks and pairs that a worker keeps (about 250 and 100 bytes each).
-KEPT_CHUNKS = 600_000
-KEPT_PAIRS = 400_000
+KEPT_CHUNKS = 250_000
+KEPT_PAIRS = 250_000
 #: Pieces of blanks alone score below all others.
 RUN_SCORE = -1e8
 LONGEST = 64
