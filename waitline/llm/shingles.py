@@ -29,6 +29,27 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """One 64-bit number per word."""
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+
+
+def runs(hashes: np.ndarray, length: int) -> np.ndarray:
+    """One number for each run of ``length`` words, in order; at least that many words."""
+    count = len(hashes) - length + 1
+    total = np.zeros(count, np.uint64)
+    for n in range(length):
+        total += hashes[n : n + count] * _FACTORS[n]
+    return mixed(total)
+
+
+def runs_at(hashes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """The same for the runs that begin at ``starts``; at most 64 words."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    return mixed((hashes[starts[:, None] + np.arange(length)] * _FACTORS[:length]).sum(axis=1))
+
+
 def shingle_set(words: list[bytes], length: int) -> np.ndarray:
     """Distinct runs of ``length`` words as sorted numbers; fewer words are one run, none is none.
 
@@ -37,14 +58,9 @@ def shingle_set(words: list[bytes], length: int) -> np.ndarray:
     """
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
     if len(words) < length:
         return mixed(np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64))
-    count = len(words) - length + 1
-    total = np.zeros(count, np.uint64)
-    for n in range(length):
-        total += hashes[n : n + count] * _FACTORS[n]
-    return np.unique(mixed(total))
+    return np.unique(runs(word_hashes(words), length))
 
 
 def set_number(tokens: np.ndarray) -> int:
