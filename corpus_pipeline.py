@@ -24,8 +24,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the n-gram join."""
-    return ngram_join.one_of_each(docs)
+    """One document of each component of the n-gram join, at five words and 0.8."""
+    return ngram_join.one_of_each(docs, words=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

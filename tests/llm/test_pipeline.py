@@ -69,6 +69,16 @@ def test_stages_on_given_documents(spark, tmp_path):
     assert after.count() == before.count()
 
 
+def test_near_copies_below_85_percent_go(spark):
+    """Copies cut at the end, of 0.81 to 0.84 of the five-word shingles."""
+    rows, sizes = [], (81, 82, 83, 84, 79)
+    for n, size in enumerate(sizes):
+        whole = prose(n, 104)
+        rows += [(2 * n, whole), (2 * n + 1, " ".join(whole.split()[: size + 4]))]
+    kept = corpus_pipeline.drop_near_copies(spark, documents(spark, rows), SF)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 4, 6, 8, 9]
+
+
 def test_run_with_hard_rows(spark, tmp_path):
     long = prose(1, 3_000)
     rows = [(1, None), (2, ""), (3, long), (3, long), (4, long), (None, prose(4, 80)), (5, "short")]
