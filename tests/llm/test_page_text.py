@@ -37,6 +37,26 @@ def test_blocks(page, want):
     assert text(page) == want
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<div class='layout has-sidebar'><article>in</article><div class=sidebar>s</div></div>", "in"),
+        ("<div class='site-content no-sidebar'><main><p>in</p></main></div>", "in"),
+        ("<div id='main-menu-page'><p>a long text of the page</p><div class=menu>m</div></div>", "a long text of the page"),
+        ("<article class='post with-comments'><p>in</p><div id=comments>c</div></article>", "in"),
+        ("<article>in</article><div id=comments><article>c</article></div>", "in"),
+        (
+            "<div class=has-sidebar><article>the post</article><div id=comments><article>c</article>"
+            "</div></div>",
+            "the post",
+        ),
+        ("<div class=no-sidebar><main>in</main></div><div class=related><article>r</article></div>", "in"),
+    ],
+)
+def test_wrappers_with_marks(page, want):
+    assert text(page) == want
+
+
 SCHEMA = "page_id long, url string, html string, text string, host string"
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 
 import pyarrow as pa
 import xxhash
@@ -66,11 +66,13 @@ _MARK = re.compile(r"[a-z0-9]+")
 class _Open:
     """An element that is not closed yet."""
 
-    __slots__ = ("name", "aside", "level", "above", "parts")
+    __slots__ = ("name", "aside", "level", "above", "parts", "ruled", "marked", "before")
 
     def __init__(self, name: str, aside: bool, level: int, above: tuple[int, ...]):
         self.name, self.aside, self.level, self.above = name, aside, level, above
         self.parts: list[str] = [name]
+        #: Aside by tag, role or style; the marked elements around; characters of text before it.
+        self.ruled, self.marked, self.before = False, (), 0
 
 
 def _attributes(given: str) -> dict[str, str]:
@@ -85,9 +87,29 @@ def _is_aside(name: str, given: dict[str, str], inside: bool) -> bool:
         return False
     hidden = "hidden" in given or given.get("aria-hidden") == "true"
     styled = "display:none" in given.get("style", "").replace(" ", "").lower()
+    return hidden or styled or given.get("role", "").lower() in ROLES
+
+
+def _is_marked(name: str, given: dict[str, str], inside: bool) -> bool:
+    if not given or name in ("html", "body"):
+        return False
     words = _MARK.findall(f"{given.get('class', '')} {given.get('id', '')}".lower())
-    marked = any(word in MARKS or (word == "header" and not inside) for word in words)
-    return hidden or styled or marked or given.get("role", "").lower() in ROLES
+    return any(word in MARKS or (word == "header" and not inside) for word in words)
+
+
+def _wrappers(
+    mains: list[tuple[int, tuple[int, ...]]], sizes: dict[int, int], total: int
+) -> set[int]:
+    """Marked elements that are not aside: what is around the main part or most of the text.
+
+    The main part is the main elements, else the articles, with the fewest marks around, so that
+    a box of comments that are articles stays aside where the page has another article.
+    """
+    best = max((level for level, _ in mains), default=0)
+    around = [marked for level, marked in mains if level == best]
+    fewest = min(map(len, around), default=0)
+    found = {n for marked in around if len(marked) == fewest for n in marked}
+    return found | {n for n, size in sizes.items() if 2 * size > total}
 
 
 def page_blocks(page: str) -> list[tuple[str, list[int]]]:
@@ -95,15 +117,27 @@ def page_blocks(page: str) -> list[tuple[str, list[int]]]:
 
     The main part is the articles that are not aside, else the main element, else the page. White
     space is one space, character references are decoded. A subtree's hash covers its name, texts
-    and elements. Unclosed and stray tags are borne with; one pass, no recursion.
+    and elements. Unclosed and stray tags are borne with; no recursion. One pass, and another
+    if an element with a mark in class or id turns out to be a wrapper (see ``_wrappers``).
     """
+    blocks, wrappers = _blocks(page, frozenset())
+    return _blocks(page, wrappers)[0] if wrappers else blocks
+
+
+def _blocks(page: str, wrappers: Set[int]) -> tuple[list[tuple[str, list[int]]], set[int]]:
+    """The blocks, with the marked elements that begin at ``wrappers`` not aside, and all wrappers."""
     stack = [_Open("", False, 0, ())]
     hashes: list[int] = []
     found: list[tuple[list[str], tuple[int, ...], int]] = []
     fresh = True
+    total = 0
+    sizes: dict[int, int] = {}
+    mains: list[tuple[int, tuple[int, ...]]] = []
 
     def pop() -> None:
         closed = stack.pop()
+        if closed.marked != stack[-1].marked:
+            sizes[closed.marked[-1]] = total - closed.before
         value = xxhash.xxh3_64_intdigest("\x1f".join(closed.parts))
         if closed.above and closed.name in BLOCKS and not closed.aside:
             hashes[closed.above[-1]] = value - (1 << 63)
@@ -120,10 +154,12 @@ def page_blocks(page: str) -> list[tuple[str, list[int]]]:
         return False
 
     def add(text: str) -> None:
-        nonlocal fresh
+        nonlocal fresh, total
         top = stack[-1]
         text = html.unescape(text)
         top.parts.append(" ".join(text.split()))
+        if not top.ruled:
+            total += len(top.parts[-1])
         if top.aside:
             return
         if fresh:
@@ -150,7 +186,12 @@ def page_blocks(page: str) -> list[tuple[str, list[int]]]:
             close_to(*SIBLINGS[name])
         top = stack[-1]
         given = _attributes(match[3]) if match[3].strip(" /\n") else {}
-        aside = top.aside or _is_aside(name, given, top.level > 0)
+        ruled = top.ruled or _is_aside(name, given, top.level > 0)
+        mark = _is_marked(name, given, top.level > 0)
+        marked = (*top.marked, match.start()) if mark else top.marked
+        aside = top.aside or ruled or (mark and match.start() not in wrappers)
+        if not ruled and (name in ("main", "article") or given.get("role") in ("main", "article")):
+            mains.append((2 if "main" in (name, given.get("role")) else 1, marked))
         level = top.level
         if not aside and (name == "article" or given.get("role") == "article"):
             level = 2
@@ -169,15 +210,17 @@ def page_blocks(page: str) -> list[tuple[str, list[int]]]:
                 above = (*above, len(hashes))
                 hashes.append(0)
             stack.append(_Open(name, aside, level, above))
+            stack[-1].ruled, stack[-1].marked, stack[-1].before = ruled, marked, total
     if at < len(page):
         add(page[at:])
     while len(stack) > 1:
         pop()
     best = max((level for _, _, level in found), default=0)
     blocks = [(" ".join("".join(parts).split()), above, level) for parts, above, level in found]
-    return [
+    kept = [
         (text, [hashes[n] for n in above]) for text, above, level in blocks if text and level == best
     ]
+    return kept, _wrappers(mains, sizes, total)
 
 
 def _parsed(pages: DataFrame, keep: list[str]) -> DataFrame:
