@@ -34,10 +34,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document of the mix."""
+    """Ids of every document of the mix, and the digest of the text that they decode to."""
     encoded = pieces.encoded(docs, PIECE_MODEL, keep=["doc_id", "source"])
-    return encoded.select(
-        "doc.doc_id", "doc.source", F.size("ids").cast("long").alias("n_tokens"), "ids"
+    return pieces.decoded(encoded, PIECE_MODEL).select(
+        "doc.doc_id",
+        "doc.source",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import corpus_pipeline
 import sentencepiece
 from pyspark.sql import functions as F
@@ -79,6 +81,17 @@ def test_near_copies_below_85_percent_go(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 4, 6, 8, 9]
 
 
+def test_texts_are_decoded_again(spark):
+    texts = {1: "Some words, and a line\nbelow.", 2: "", 3: prose(3, 40)}
+    docs = documents(spark, list(texts.items()))
+    library = sentencepiece.SentencePieceProcessor(model_file=corpus_pipeline.PIECE_MODEL)
+    rows = corpus_pipeline.encode_texts(spark, docs, SF).collect()
+    want = {d: library.decode(library.encode(t)).encode() for d, t in texts.items()}
+    assert {r.doc_id: r.decoded_sha256 for r in rows} == {
+        d: hashlib.sha256(t).hexdigest() for d, t in want.items()
+    }
+
+
 def test_run_with_hard_rows(spark, tmp_path):
     long = prose(1, 3_000)
     rows = [(1, None), (2, ""), (3, long), (3, long), (4, long), (None, prose(4, 80)), (5, "short")]
