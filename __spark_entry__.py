@@ -299,11 +299,16 @@ def _with_package(query: Query) -> Query:
     return run
 
 
+def _corpus_pipeline():
+    """``corpus_pipeline.py``, which imports the subpackage, if both are there."""
+    return _optional("corpus_pipeline") if find_spec("waitline.llm") else None
+
+
 def _text_queries() -> dict[str, Query]:
     found = {}
     if registered := _optional("waitline.llm.queries"):
         found |= registered.queries()
-    if corpus := _optional("corpus_pipeline"):
+    if corpus := _corpus_pipeline():
         found["pipeline"] = corpus.run
     return {name: _with_package(query) for name, query in found.items()}
 
@@ -312,7 +317,7 @@ def _text_sql() -> dict[str, str]:
     found = {}
     if registered := _optional("waitline.llm.sql"):
         found |= registered.oracle_sql()
-    corpus = _optional("corpus_pipeline")
+    corpus = _corpus_pipeline()
     if corpus and corpus.ORACLE_SQL:
         found["pipeline"] = corpus.ORACLE_SQL
     return found
