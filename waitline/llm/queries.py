@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitline.llm import (
+    filter_audit,
     fixity,
     forest,
     line_dedup,
@@ -122,6 +123,12 @@ def ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def filter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(
+        _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": mixing_plan,
@@ -134,4 +141,5 @@ def queries() -> dict[str, Query]:
         "op6_warc_fixity": archive_audit,
         "op7_nearest_neighbours": nearest_vectors,
         "op8_sentencepiece": piece_round_trip,
+        "op13_filter_audit": filter_orders,
     }

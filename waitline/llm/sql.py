@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waitline.llm import line_dedup, mixing, quality
+from waitline.llm import filter_audit, line_dedup, mixing, quality
 from waitline.llm.queries import DECAY_EVERY
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -188,6 +188,65 @@ WITH RECURSIVE split AS (
 SELECT doc_id, len(shingles)::BIGINT AS n_shingles, component_id FROM sets JOIN components USING (doc_id)"""
 
 
+def _filter_audit() -> str:
+    words = f"regexp_extract_all(coalesce(text, ''), '{WORD}')"
+    bits = {
+        "A": f"len({words}) < {filter_audit.LEAST_WORDS}",
+        "B": f"100 * len(list_distinct({words}))"
+        f" < {filter_audit.LEAST_DISTINCT_PERCENT} * len({words})",
+        "C": "100 * len(regexp_extract_all(coalesce(text, ''), '[A-Z]'))"
+        f" > {filter_audit.MOST_CAPITALS_PERCENT} * length(coalesce(text, ''))",
+        "D": f"regexp_matches(coalesce(text, ''), '[{filter_audit.SYMBOLS}]')",
+        "E": "coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false)",
+    }
+    columns = ", ".join(f"{rule} AS {name.lower()}" for name, rule in bits.items())
+    letters = "(VALUES ('A'), ('B'), ('C'), ('D'), ('E'))"
+    fails = " ".join(f"WHEN '{name}' THEN {name.lower()}" for name in bits)
+    n_fails = " + ".join(f"{name.lower()}::INT" for name in bits)
+    return f"""
+WITH RECURSIVE judged AS (
+  SELECT doc_id, max((quality = 1)::INT) = 1 AS good, max((toxic = 1)::INT) = 1 AS toxic
+  FROM labels GROUP BY doc_id
+), docs AS (
+  SELECT coalesce(lang, '') AS part, doc_id, {columns} FROM documents
+), verdicts AS (
+  SELECT docs.*, {n_fails} AS n_fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM docs LEFT JOIN judged USING (doc_id)
+), orders(filter_order) AS (
+  SELECT ''
+  UNION ALL
+  SELECT filter_order || letter FROM orders, {letters} AS l(letter)
+  WHERE NOT contains(filter_order, letter)
+), steps AS (
+  SELECT filter_order, step::INT AS step, filter_order[step] AS letter
+  FROM orders, generate_series(1, 5) AS s(step) WHERE length(filter_order) = 5
+), classes AS (
+  SELECT part, good, toxic, a, b, c, d, e, count(*) AS docs FROM verdicts GROUP BY ALL
+), applied AS (
+  SELECT part, filter_order, step, letter, docs, good, toxic,
+    {n_fails} AS n_fails,
+    CASE letter {fails} END AS fails,
+    list_position([CASE filter_order[1] {fails} END, CASE filter_order[2] {fails} END,
+      CASE filter_order[3] {fails} END, CASE filter_order[4] {fails} END,
+      CASE filter_order[5] {fails} END], true) AS leaves
+  FROM classes, steps
+), counted AS (
+  SELECT part, filter_order, step, letter,
+    coalesce(sum(docs) FILTER (leaves IS NULL OR leaves > step), 0) AS kept,
+    coalesce(sum(docs) FILTER (leaves = step), 0) AS removed,
+    coalesce(sum(docs) FILTER (fails AND leaves < step), 0) AS redundant,
+    coalesce(sum(docs) FILTER (fails AND n_fails = 1), 0) AS unique_fails,
+    coalesce(sum(docs) FILTER (leaves = step AND good), 0) AS good_lost,
+    coalesce(sum(docs) FILTER (leaves = step AND toxic), 0) AS toxic_lost
+  FROM applied GROUP BY ALL
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mixing": _mixing(),
@@ -195,4 +254,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_quality_rules": _quality(),
         "op6_warc_fixity": _fixity(),
         "op10_ngram_join": _ngram_join(),
+        "op13_filter_audit": _filter_audit(),
     }
