@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitline.llm import (
+    divergence,
     filter_audit,
     fixity,
     forest,
@@ -20,6 +21,7 @@ from waitline.llm import (
     quality,
     substring_dedup,
     token_counts,
+    vector_dedup,
 )
 from waitline.llm.staging import stage
 
@@ -123,6 +125,14 @@ def ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def source_divergences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(_read(spark, sf_dir, "documents"))
+
+
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_copies(_read(spark, sf_dir, "embeddings"))
+
+
 def filter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audited(
         _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
@@ -141,5 +151,7 @@ def queries() -> dict[str, Query]:
         "op6_warc_fixity": archive_audit,
         "op7_nearest_neighbours": nearest_vectors,
         "op8_sentencepiece": piece_round_trip,
+        "op11_source_divergence": source_divergences,
+        "op12_near_vectors": near_vectors,
         "op13_filter_audit": filter_orders,
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from waitline.llm import filter_audit, line_dedup, mixing, quality
+from waitline.llm import divergence, filter_audit, line_dedup, mixing, quality
 from waitline.llm.queries import DECAY_EVERY
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -247,6 +247,56 @@ SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS remove
 FROM counted"""
 
 
+def _divergence() -> str:
+    upper, lower = divergence.LETTERS.decode(), divergence.LETTERS.decode().lower()
+    scale = f"{divergence.SCALE}::HUGEINT"
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), '{upper}', '{lower}') AS folded
+  FROM documents
+), occurrences AS (
+  SELECT n, lang, source,
+    unnest(regexp_extract_all(folded, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM docs
+), kept AS (
+  SELECT lang, term FROM occurrences GROUP BY lang, term
+  HAVING count(DISTINCT n) >= {divergence.LEAST_DOCS}
+), counts AS (
+  SELECT lang, source, term, count(*) AS c FROM occurrences JOIN kept USING (lang, term)
+  GROUP BY ALL
+), sizes AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), totals AS (
+  SELECT g.lang, g.source, coalesce(sum(c), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counts USING (lang, source)
+  GROUP BY ALL
+), grid AS (
+  SELECT t.lang, t.source, k.term, coalesce(c, 0) AS c,
+    1 + {scale} * (coalesce(c, 0) + 1) // (n + v) AS p
+  FROM totals t JOIN sizes USING (lang) JOIN kept k USING (lang)
+    LEFT JOIN counts x ON t.lang = x.lang AND t.source = x.source AND k.term = x.term
+), whole AS (
+  SELECT lang, term, 1 + {scale} * (sum(c) + 1) // (sum(sum(c)) OVER (PARTITION BY lang)
+    + count(*) OVER (PARTITION BY lang)) AS q
+  FROM grid GROUP BY lang, term
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    coalesce(sum((g.p - h.p) * (g.p - h.p) // h.p), 0) AS value
+  FROM totals a JOIN totals b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN grid g ON g.lang = a.lang AND g.source = a.source
+    LEFT JOIN grid h ON h.lang = b.lang AND h.source = b.source AND h.term = g.term
+  GROUP BY ALL
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value
+  FROM grid JOIN whole USING (lang, term) WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM (FROM pairs UNION ALL FROM terms)
+QUALIFY part = 'pair' OR rank <= {divergence.MOST_TERMS}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mixing": _mixing(),
@@ -254,5 +304,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_quality_rules": _quality(),
         "op6_warc_fixity": _fixity(),
         "op10_ngram_join": _ngram_join(),
+        "op11_source_divergence": _divergence(),
         "op13_filter_audit": _filter_audit(),
     }
