@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import importlib
 import sys
 import uuid
@@ -19,14 +20,25 @@ sys.path.insert(0, HERE)
 import fixture  # noqa: E402
 import oracles  # noqa: E402
 from waitline import schemas  # noqa: E402
-from waitline.functions.clock import to_team_time  # noqa: E402
-from waitline.operators import events, marts, milestones, quality, scenarios, sla  # noqa: E402
-from waitline.plans import reports  # noqa: E402
+from waitline.functions.clock import micros_since_1970, to_team_time  # noqa: E402
+from waitline.operators import (  # noqa: E402
+    events,
+    marts,
+    milestones,
+    periods,
+    quality,
+    scenarios,
+    sla,
+    timejoin,
+)
+from waitline.plans import observed, reports  # noqa: E402
 from waitline.plans.pipeline import REPORT_ORDER, Inputs, Pipeline  # noqa: E402
+from waitline.plans.refresh import Refresh  # noqa: E402
 from waitline.plans.store import Store  # noqa: E402
 from waitline.settings import Settings, WorkingHours  # noqa: E402
 from waitline.sources import calendar as calendars  # noqa: E402
-from waitline.sources import tables  # noqa: E402
+from waitline.sources import staffing, tables  # noqa: E402
+from waitline.streaming import dedup  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -181,6 +193,166 @@ def _from_catalog(table: str) -> Query:
     return query
 
 
+STREAM_BATCHES = 4
+
+
+def _streamed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log in files by arrival, late events two days late, read as a stream batch by batch."""
+    pipeline = _pipeline(spark, sf_dir)
+    log = pipeline.inputs.events_log
+    folder = _fresh_path(pipeline, "stream")
+    arrival = F.col("ingestion_ts") + F.expr("IF(is_late_arriving, INTERVAL 2 DAY, INTERVAL 0 DAY)")
+    timed = log.withColumn("arrival", dedup.instant(arrival).cast("double"))
+    first, last = timed.agg(F.min("arrival"), F.max("arrival")).first()
+    if first is None:
+        return events.dedupe(log)
+    width = (last - first) / STREAM_BATCHES + 1
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for number in range(STREAM_BATCHES):
+        batch = F.floor((F.col("arrival") - first) / width) == number
+        written = timed.filter(batch).drop("arrival").repartition(files)
+        written.write.mode("append").parquet(f"{folder}/log")
+    latest = log.agg(F.max("ingestion_ts")).first()[0]
+    for _ in ("the log", "a heartbeat"):
+        stream = dedup.read_log(spark, f"{folder}/log", log.schema, files)
+        deduped = dedup.dedupe(stream, "4 days")
+        dedup.start(deduped, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+        at = latest + dt.timedelta(days=30)
+        dedup.write_heartbeat(spark, f"{folder}/log", log.schema, at)
+    return spark.read.schema(deduped.schema).parquet(f"{folder}/out")
+
+
+@cache
+def _refreshed(application: str, sf_dir: str) -> Refresh:
+    """Marts of a folder in which the days of the last month were wrong and are written again."""
+    made = _shared(application, sf_dir, "default")
+    folder, inputs = _fresh_path(made, "days"), made.inputs
+    inputs.calendar.write.parquet(f"{folder}/raw/calendar_dim")
+    inputs.staffing.write.parquet(f"{folder}/raw/staffing_schedule")
+    latest = inputs.cases.agg(F.max("intake_date")).first()[0]
+    last_month = F.col("intake_date") > F.lit(latest - dt.timedelta(days=30))
+    marts_of = Refresh(
+        SparkSession.active(), f"{folder}/raw", f"{folder}/state", case_id="bigint"
+    )
+    parts = {"cases": inputs.cases, "events_log": inputs.events_log}
+    for name, table in parts.items():
+        wrong = table.filter(~last_month | (F.col("case_id") % 3 != 0))
+        if name == "cases":
+            tier = F.when(last_month, "TIER_1").otherwise(F.col("tier"))
+            wrong = wrong.withColumn("tier", tier)
+        tables.write_partitioned(wrong, f"{folder}/raw/{name}")
+    marts_of.refresh()
+    for name, table in parts.items():
+        right = table.filter(last_month)
+        tables.write_partitioned(right, f"{folder}/raw/{name}", only_given_days=True)
+    marts_of.refresh()
+    return marts_of
+
+
+def _after_refresh(mart: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        made = _refreshed(spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
+        return getattr(made, mart)
+
+    return query
+
+
+# Joins on time.
+
+
+def _asof_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The position of covered times by the last open minute at or before them."""
+    pipeline = _pipeline(spark, sf_dir)
+    log = pipeline.inputs.events_log.select("event_id", "event_ts")
+    found = timejoin.asof_join(
+        log.filter(pipeline.clock.covers(F.col("event_ts"))),
+        pipeline.clock.minute_spine().select("minute_ts", "minute_idx"),
+        "event_ts",
+        "minute_ts",
+        pipeline.store.keep,
+        how="inner",
+        name="asof_minutes",
+    )
+    later = (F.col("minute_ts") < F.col("event_ts")).cast("bigint")
+    return found.select("event_id", (F.col("minute_idx") + later).alias("position"))
+
+
+def _last_resolved_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each case the case of its tier that was resolved last before its intake."""
+    pipeline = _pipeline(spark, sf_dir)
+    cases = pipeline.inputs.cases.select("case_id", "tier", "intake_ts")
+    resolved = (
+        pipeline.inputs.events_log.filter("status = 'RESOLVED'")
+        .join(cases.select("case_id", "tier"), "case_id")
+        .groupBy("tier", F.col("event_ts").alias("resolved_ts"))
+        .agg(F.max("case_id").alias("resolved_case_id"))
+    )
+    return timejoin.asof_join(
+        cases, resolved, "intake_ts", "resolved_ts", pipeline.store.keep, ["tier"],
+        name="asof_resolved",
+    )
+
+
+def _waits_in_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of customer waits in which no shift is on duty."""
+    pipeline = _pipeline(spark, sf_dir)
+    gaps = staffing.staffing_gaps(pipeline.inputs.staffing).drop("team_tz")
+    waits = sla.wait_intervals(pipeline.timed_events)
+    pairs = timejoin.overlap_join(
+        waits, gaps, ("cw_start_ts", "cw_end_ts"), ("gap_start", "gap_end")
+    )
+    start = micros_since_1970(F.greatest("cw_start_ts", "gap_start"))
+    end = micros_since_1970(F.least("cw_end_ts", "gap_end"))
+    seconds = F.call_function("div", end - start, F.lit(1_000_000))
+    return pairs.withColumn("unstaffed_seconds", seconds)
+
+
+def _hot_case(log: DataFrame) -> DataFrame:
+    """The log with a third of all cases as one case."""
+    return log.withColumn("case_id", F.when(F.col("case_id") % 3 != 0, F.col("case_id")).otherwise(0))
+
+
+def _hot_wait_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pipeline = _pipeline(spark, sf_dir)
+    return sla.wait_minutes(_hot_case(pipeline.timed_events), pipeline.clock)
+
+
+# Percentiles of periods, totals over segments, figures observed while writing.
+
+
+def _monthly_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pipeline = _pipeline(spark, sf_dir)
+    days = pipeline.store.keep("day_counts", periods.day_counts(pipeline.case_sla_metrics))
+    return periods.period_percentiles(days, "month")
+
+
+def _sketched_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether percentiles of quarters from sketches per day keep the error they promise."""
+    pipeline = _pipeline(spark, sf_dir)
+    days = pipeline.store.keep("day_counts", periods.day_counts(pipeline.case_sla_metrics))
+    sketches = pipeline.store.keep("day_sketches", periods.day_sketches(pipeline.case_sla_metrics))
+    found = periods.sketched_percentiles(sketches, "quarter")
+    return periods.sketch_errors(found, days, "quarter")
+
+
+def _segment_sets(case_sla_metrics: DataFrame) -> DataFrame:
+    return marts.sla_by_segment_sets(marts.duration_counts(case_sla_metrics, marts.SEGMENT_KEYS))
+
+
+@cache
+def _observed(application: str, sf_dir: str) -> observed.StagedLog:
+    made = _shared(application, sf_dir, "default")
+    return observed.stage_log(made.inputs.events_log, _fresh_path(made, "observed"))
+
+
+def _as_observed(figures: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        seen = _observed(spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
+        return getattr(seen, figures)()
+
+    return query
+
+
 def _json_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     pipeline = _pipeline(spark, sf_dir)
     path = _fresh_path(pipeline, "event_integrity_json")
@@ -257,7 +429,7 @@ def _read_in_row_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cases written as instants and read by the clock of each row's zone."""
     pipeline = _pipeline(spark, sf_dir)
     path = _fresh_path(pipeline, "instants")
-    since = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', intake_ts)")
+    since = micros_since_1970(F.col("intake_ts"))
     written = pipeline.inputs.cases.withColumns(
         {"intake_ts": F.timestamp_micros(since), "team_tz": _zone_by_tier()}
     )
@@ -335,6 +507,10 @@ def _service_queries() -> dict[str, Query]:
         "s2_scan_partitioned_cases": _scan_partitioned_cases,
         "s3_write_partitioned_events": _write_partitioned_events,
         "s4_replace_days": _replace_days,
+        **{
+            f"s4_refreshed_{mart}": _after_refresh(mart)
+            for mart in ("sla_daily", "sla_by_tier_case_type", "backlog_daily_proxy")
+        },
         "s5_saved_table": _saved_table,
         "s6_csv_export": _csv_export,
         **{f"s6_csv_{report}": _csv(report) for report in REPORT_ORDER},
@@ -384,18 +560,26 @@ def _service_queries() -> dict[str, Query]:
         "j5_business_position": _positions(covered_only=False),
         "j5_business_position_inner": _positions(covered_only=True),
         "j5_business_minutes_dim": _on(lambda clock: clock.minute_spine(), "clock"),
+        "j5_asof_position": _asof_position,
+        "j5_asof_last_resolved": _last_resolved_before,
+        "j6_waits_in_staffing_gaps": _waits_in_gaps,
         # Windows
         "w1_events_dedup": _table("events_deduped"),
+        "w1_events_dedup_stream": _streamed_dedup,
         "w2_congestion_deciles": _on(
             lambda d: d.select("case_id", "avg_congestion_flow_index", "congestion_decile"),
             "case_deciles",
         ),
         "w5_wait_intervals": _on(sla.wait_intervals, "timed_events"),
+        "w5_wait_intervals_hot_case": _on(
+            lambda timed: sla.wait_intervals(_hot_case(timed)), "timed_events"
+        ),
         # Case tables
         "a2_case_milestones": _table("case_milestones"),
         "a3_sla_inputs": _on(milestones.sla_inputs, "repaired"),
         "a5_wait_minutes": _table("wait_minutes"),
         "a5_wait_minutes_left": _table("wait_minutes", variant="left"),
+        "a5_wait_minutes_hot_case": _hot_wait_minutes,
         "a7_case_sla_metrics": _table("case_sla_metrics"),
         "a7_case_sla_metrics_left": _table("case_sla_metrics", variant="left"),
         "a8_case_stage_durations": _table("case_stage_durations"),
@@ -410,6 +594,9 @@ def _service_queries() -> dict[str, Query]:
         "m1_sla_daily": _table("sla_daily"),
         "m1_sla_daily_left": _table("sla_daily", variant="left"),
         "m2_sla_by_tier_case_type": _table("sla_by_tier_case_type"),
+        "m2_sla_by_segment_sets": _on(_segment_sets, "case_sla_metrics"),
+        "g6_monthly_percentiles": _monthly_percentiles,
+        "g6_sketched_percentiles": _sketched_percentiles,
         "m3_staffing_daily": _table("staffing_daily"),
         "m4_backlog_daily_proxy": _table("backlog_daily_proxy"),
         "m5_congestion_daily": _table("congestion_daily"),
@@ -447,6 +634,10 @@ def _service_queries() -> dict[str, Query]:
         "q13_dedup_reconciliation": _on(
             quality.dedup_reconciliation, "raw.events_log", "events_deduped"
         ),
+        "q4_event_integrity_observed": _as_observed("event_integrity"),
+        "q6_ingestion_before_event_observed": _as_observed("ingestion_before_event"),
+        "q12_clean_event_anomalies_observed": _as_observed("clean_event_anomalies"),
+        "q13_dedup_reconciliation_observed": _as_observed("dedup_reconciliation"),
         "q14_breach_rates": _on(quality.breach_rates, "case_sla_metrics"),
         "q15_sla_triage_before_intake": _on(quality.sla_triage_before_intake, "case_sla_metrics"),
         "q16_sla_percentiles": _on(marts.sla_percentiles, "case_sla_metrics"),

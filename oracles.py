@@ -159,6 +159,20 @@ TABLES = {
         LEFT JOIN spine ON minute_ts >= cw_start_ts AND minute_ts < cw_end_ts
         WHERE cw_end_ts IS NOT NULL
         GROUP BY case_id""",
+    "hot_marks": """
+        SELECT DISTINCT IF(case_id % 3 = 0, 0, case_id) AS case_id, status, ts FROM marks""",
+    "hot_wait_intervals": """
+        SELECT case_id, ts AS cw_start_ts, next_ts AS cw_end_ts
+        FROM (SELECT *, min(ts) OVER (PARTITION BY case_id ORDER BY ts
+                 RANGE BETWEEN INTERVAL 1 MICROSECOND FOLLOWING AND UNBOUNDED FOLLOWING)
+                 AS next_ts FROM hot_marks)
+        WHERE status = 'CUSTOMER_WAIT'""",
+    "hot_wait_minutes": """
+        SELECT case_id, count(minute_ts) AS customer_wait_business_minutes
+        FROM hot_wait_intervals
+        LEFT JOIN spine ON minute_ts >= cw_start_ts AND minute_ts < cw_end_ts
+        WHERE cw_end_ts IS NOT NULL AND cw_start_ts >= (SELECT min(s.minute_ts) FROM spine s)
+        GROUP BY case_id""",
     "moments": """
         SELECT DISTINCT unnest([intake_ts, triage_fixed, resolved_fixed, resolved_any,
                assignment_ts, investigation_ts, customer_wait_first_ts, review_qa_ts]) AS ts
@@ -499,11 +513,32 @@ def _integrity(rounded: bool) -> str:
         FROM events_log"""
 
 
+_DURATIONS = {"touch": _TOUCH, "whole": _WHOLE, "paused": _PAUSED}
+
+
+def _by_period(period: str, columns: str) -> str:
+    """A query per measure, over the cases of every month, quarter or year."""
+    return " UNION ALL ".join(
+        f"""SELECT CAST(date_trunc('{period}', intake_date) AS DATE) AS period,
+                   '{measure}' AS measure, count(*) AS cases, {columns.format(minutes=minutes)}
+            FROM case_sla_metrics WHERE {minutes} IS NOT NULL GROUP BY ALL"""
+        for measure, minutes in _DURATIONS.items()
+    )
+
+
+_PERCENTILES = ", ".join(
+    f"round(quantile_cont({{minutes}}, {q}), 6) AS p{p}_min"
+    for p, q in ((50, 0.5), (90, 0.9), (95, 0.95))
+)
+
 _QUERIES = {
     "s1_scan_staffing": "SELECT * FROM staffing_schedule",
     "s2_scan_partitioned_cases": "SELECT * FROM cases",
     "s3_write_partitioned_events": "SELECT * FROM events_log",
     "s4_replace_days": "SELECT event_id, case_id, intake_date FROM events_log",
+    "s4_refreshed_sla_daily": "SELECT * FROM sla_daily",
+    "s4_refreshed_sla_by_tier_case_type": "SELECT * FROM sla_by_tier_case_type",
+    "s4_refreshed_backlog_daily_proxy": "SELECT * FROM backlog_daily_proxy",
     "s5_saved_table": "SELECT * FROM sla_by_tier_case_type",
     "s6_csv_export": _counts(
         "sla_daily",
@@ -567,10 +602,43 @@ _QUERIES = {
         ASOF JOIN spine ON ts >= minute_ts""",
     "j5_business_minutes_dim": "SELECT * FROM spine",
     "w1_events_dedup": "SELECT * FROM events_deduped",
+    "w1_events_dedup_stream": "SELECT * FROM events_deduped",
     "w2_congestion_deciles": """
         SELECT case_id, exposure AS avg_congestion_flow_index, congestion_decile
         FROM case_deciles""",
     "w5_wait_intervals": "SELECT * FROM wait_intervals",
+    "w5_wait_intervals_hot_case": "SELECT * FROM hot_wait_intervals",
+    "a5_wait_minutes_hot_case": "SELECT * FROM hot_wait_minutes",
+    "j5_asof_last_resolved": """
+        SELECT c.case_id, c.tier, c.intake_ts, r.resolved_ts, r.resolved_case_id
+        FROM cases c ASOF LEFT JOIN (
+          SELECT tier, event_ts AS resolved_ts, max(case_id) AS resolved_case_id
+          FROM events_log JOIN cases USING (case_id)
+          WHERE status = 'RESOLVED' AND event_ts IS NOT NULL GROUP BY ALL) r
+        ON c.tier = r.tier AND c.intake_ts >= r.resolved_ts""",
+    "j6_waits_in_staffing_gaps": """
+        SELECT w.*, g.*, CAST((epoch_us(least(cw_end_ts, gap_end))
+                 - epoch_us(greatest(cw_start_ts, gap_start))) // 1000000 AS BIGINT)
+                 AS unstaffed_seconds
+        FROM wait_intervals w JOIN (
+          SELECT gap_start, gap_end FROM (
+            SELECT CAST(shift_date AS TIMESTAMP) + to_hours(max(shift_end_hour)) AS gap_start,
+                   lead(CAST(shift_date AS TIMESTAMP) + to_hours(min(shift_start_hour)))
+                     OVER (ORDER BY shift_date) AS gap_end
+            FROM staffing_schedule GROUP BY shift_date)
+          WHERE gap_end > gap_start) g
+        ON cw_start_ts < gap_end AND gap_start < cw_end_ts""",
+    "m2_sla_by_segment_sets": f"""
+        SELECT tier, case_type, CAST(grouping(tier, case_type) AS BIGINT) AS level,
+               count(*) AS cases,
+               {_pct("sla_b_breached")} AS sla_b_breach_pct, {_spread(_TOUCH, "ft")},
+               {_pct("sla_a_breached_including_cw")} AS sla_a_breach_pct_including_cw,
+               {_pct("sla_a_breached_paused_cw")} AS sla_a_breach_pct_paused_cw,
+               {_spread(_WHOLE, "fr", "_inc_cw")}, {_spread(_PAUSED, "fr", "_pause_cw")}
+        FROM case_sla_metrics
+        GROUP BY GROUPING SETS ((tier, case_type), (tier), (case_type), ())""",
+    "g6_monthly_percentiles": _by_period("month", _PERCENTILES),
+    "g6_sketched_percentiles": _by_period("quarter", "true AS within_error"),
     "a2_case_milestones": "SELECT * FROM case_milestones",
     "a3_sla_inputs": """
         SELECT case_id, intake_ts, triage_fixed AS triage_ts_final,
@@ -721,8 +789,19 @@ _SHORT = (
 )
 
 
+# Queries that reach the rows of another in another way.
+_SAME = {
+    "j5_asof_position": "j5_business_position_inner",
+    "q4_event_integrity_observed": "q4_event_integrity",
+    "q6_ingestion_before_event_observed": "q6_ingestion_before_event",
+    "q12_clean_event_anomalies_observed": "q12_clean_event_anomalies",
+    "q13_dedup_reconciliation_observed": "q13_dedup_reconciliation",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     found = {name: with_tables(query) for name, query in _QUERIES.items()}
+    found |= {name: found[same] for name, same in _SAME.items()}
     for name in found:
         if name.endswith("_short"):
             for usual, short in _SHORT:

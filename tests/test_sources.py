@@ -124,6 +124,36 @@ def test_store_writes_a_name_once(spark):
     assert store.folder.startswith(shared_folder(spark).rstrip("/"))
 
 
+@pytest.mark.parametrize("by_day", [False, True])
+def test_store_sees_that_files_were_written_again(spark, tmp_path, by_day):
+    """A count over a folder is made anew when the folder, or one day of it, is."""
+    store, folder = Store(spark), f"file://{tmp_path}/a b%"
+    days = "date_add(date'2025-07-01', CAST(id % 5 AS INT)) AS intake_date"
+
+    def count():
+        counted = spark.read.schema("id long, intake_date date").parquet(folder).groupBy()
+        return store.keep("count", counted.count()).first()[0]
+
+    rows = spark.range(10).selectExpr("id", days)
+    tables.write_partitioned(rows, folder)
+    assert count() == count() == 10
+    if by_day:
+        more = spark.range(25).selectExpr("id", days).filter("intake_date = date'2025-07-02'")
+        tables.write_partitioned(more, folder, only_given_days=True)
+        assert count() == count() == 13
+    else:
+        tables.write_partitioned(spark.range(25).selectExpr("id", days), folder)
+        assert count() == count() == 25
+
+
+def test_store_sees_a_file_of_the_same_name(spark, tmp_path):
+    store, file = Store(spark), tmp_path / "one.csv"
+    for lines in (3, 7):
+        file.write_text("x\n" * lines)
+        df = spark.read.schema("x string").csv(f"file://{file}").groupBy().count()
+        assert store.keep("lines", df).first()[0] == lines
+
+
 def test_pipeline_from_partitioned_parquet_with_text_ids(spark, tmp_path):
     """The whole way from files, as a user of the library takes it."""
     flow_of_case = ("TRIAGE", "ASSIGNMENT", "INVESTIGATION", "CUSTOMER_WAIT", "REVIEW_QA")

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from helpers import calendar_table, events_table, open_minutes, position, ts
+from pyspark.sql import functions as F
 
 from waitline.functions.clock import BusinessClock
 from waitline.operators import events, sla
@@ -60,3 +62,21 @@ def test_minutes_equal_the_sum_over_intervals(spark, log, mode):
 def test_unknown_mode_is_refused(spark):
     with pytest.raises(ValueError, match="mode"):
         sla.in_sla_table(spark.range(1), "outer")
+
+
+def test_a_case_with_a_third_of_all_events_is_spread(spark):
+    """The groups that a task gets whole are days of a case, or minutes, never a case."""
+    log = [("hot" if n % 3 == 0 else f"c{n}", "CUSTOMER_WAIT" if n % 4 == 0 else "REVIEW_QA",
+            START + dt.timedelta(minutes=n)) for n in range(30_000)]
+    timed = events.with_canonical_time(events_table(spark, log))
+    clock = BusinessClock.from_calendar(calendar_table(spark, FIRST, DAYS))
+    for found, key in (
+        (sla.wait_minutes(timed, clock), r"case_id#\d+, open_day#\d+L?"),
+        (sla.wait_intervals(timed), r"case_id#\d+, day#\d+, minute#\d+"),
+    ):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert re.search(rf"hashpartitioning\({key}, \d+\)", plan)
+    shares = [r["n"] for r in clock.with_positions(timed, {"event_ts_canonical": "position"})
+              .groupBy(F.pmod(F.hash("case_id", F.expr("position div 600")), F.lit(8)))
+              .agg(F.count("*").alias("n")).collect()]
+    assert max(shares) < 2 * len(log) / 8

@@ -146,6 +146,13 @@ class BusinessClock:
         )
 
 
+def micros_since_1970(ts: Column) -> Column:
+    """Microseconds of a wall time since the start of 1970, whatever the zone of the session."""
+    seconds = F.unix_date(ts.cast("date")).cast("bigint") * 86_400
+    seconds = seconds + F.hour(ts) * 3_600 + F.minute(ts) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+
+
 def minutes_between(start: Column, end: Column) -> Column:
     """Open minutes from one position to another, never negative, NULL if either is."""
     return F.when(

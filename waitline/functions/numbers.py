@@ -40,15 +40,18 @@ def value_counts(
     keys: Sequence[str],
     measures: Mapping[str, str],
     flags: Mapping[str, str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """How often each value of each measure occurs per group: (keys, measure, value, flag, n).
 
     First level of a two-level exact percentile. The rows are counted on the map
     side and shuffled by (keys, measure, value), so that one hot group is spread
     over many tasks; what is left per group is at most the distinct minutes.
-    ``flags`` adds a boolean that depends on the same row, such as its breach flag.
+    ``flags`` adds a boolean that depends on the same row, such as its breach flag. Rows
+    count once, or as often as ``weight`` says, which may be negative for rows taken back.
     """
     flags = flags or {}
+    weights = [] if weight is None else [weight]
     entries = [
         F.struct(
             F.lit(name).alias("measure"),
@@ -58,10 +61,10 @@ def value_counts(
         for name, column in measures.items()
     ]
     return (
-        df.select(*keys, F.explode(F.array(*entries)).alias("entry"))
-        .select(*keys, "entry.measure", "entry.value", "entry.flag")
+        df.select(*keys, *weights, F.explode(F.array(*entries)).alias("entry"))
+        .select(*keys, *weights, "entry.measure", "entry.value", "entry.flag")
         .groupBy(*keys, "measure", "value", "flag")
-        .agg(F.count("*").alias("n"))
+        .agg((F.count("*") if weight is None else F.sum(weight)).alias("n"))
     )
 
 

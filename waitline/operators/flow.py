@@ -27,6 +27,11 @@ def backlog_daily_proxy(
         .groupBy(F.coalesce("resolved_ts", "cancelled_ts").cast("date").alias("cal_date"))
         .agg(F.count("*").alias("terminal_cases"))
     )
+    return backlog_of(taken, closed, calendar)
+
+
+def backlog_of(taken: DataFrame, closed: DataFrame, calendar: DataFrame) -> DataFrame:
+    """``backlog_daily_proxy`` from ``intake_cases`` and ``terminal_cases`` per date."""
     so_far = Window.orderBy("cal_date")
     return (
         calendar.select("cal_date")

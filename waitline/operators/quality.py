@@ -31,17 +31,21 @@ def intake_coverage(cases: DataFrame) -> DataFrame:
     )
 
 
-def event_rates(events: DataFrame, digits: int | None = 3) -> DataFrame:
-    """Shares of missing times, flagged duplicates, late events, untrusted zones and
-    events ingested before they happened, from one pass over the events."""
+def event_rate_columns(digits: int | None = 3) -> list[Column]:
     early = F.col("event_ts").isNotNull() & (F.col("ingestion_ts") < F.col("event_ts"))
-    return events.agg(
+    return [
         rate(F.col("event_ts").isNull(), digits).alias("pct_missing_event_ts"),
         rate(F.col("is_duplicate"), digits).alias("pct_duplicate_flag"),
         rate(F.col("is_late_arriving"), digits).alias("pct_late_arriving_flag"),
         rate(F.col("event_tz") == INCONSISTENT_ZONE, digits).alias("pct_tz_inconsistent"),
         rate(early, digits).alias("pct_ingestion_before_event_ts"),
-    )
+    ]
+
+
+def event_rates(events: DataFrame, digits: int | None = 3) -> DataFrame:
+    """Shares of missing times, flagged duplicates, late events, untrusted zones and
+    events ingested before they happened, from one pass over the events."""
+    return events.agg(*event_rate_columns(digits))
 
 
 def event_integrity(events: DataFrame, digits: int | None = 3) -> DataFrame:
@@ -146,12 +150,16 @@ def triage_before_intake_after_repair(milestones: DataFrame) -> DataFrame:
     )
 
 
-def clean_event_anomalies(cleaned: DataFrame) -> DataFrame:
-    return cleaned.agg(
+def clean_event_columns() -> list[Column]:
+    return [
         rate(F.col("is_event_ts_missing")).alias("pct_event_ts_missing"),
         rate(F.col("is_tz_inconsistent")).alias("pct_tz_inconsistent"),
         rate(F.col("is_ingestion_before_event_ts")).alias("pct_ingestion_before_event_ts"),
-    )
+    ]
+
+
+def clean_event_anomalies(cleaned: DataFrame) -> DataFrame:
+    return cleaned.agg(*clean_event_columns())
 
 
 def dedup_reconciliation(events: DataFrame, deduped: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitline.functions.clock import BusinessClock, minutes_between
+from waitline.operators.scan import with_next
 from waitline.settings import Targets
 
 WAIT = "CUSTOMER_WAIT"
@@ -14,32 +15,19 @@ WAIT = "CUSTOMER_WAIT"
 def wait_intervals(events: DataFrame) -> DataFrame:
     """Each customer wait with the next strictly later event of its case, of any status.
 
-    Copies of an event count once. The search runs day by day: within a day by
-    ``lead``, and from the last event of a day to the first one of the case's next
-    day with events. So a case with very many events is spread over its days, and
-    only one row per day of it meets in one group.
+    Copies of an event count once. The search runs minute by minute and is carried on over
+    minutes and days, so a case with very many events, or a busy day of it, is spread.
     """
+    ts = F.col("event_ts_canonical")
     moments = (
         events.groupBy("case_id", "event_ts_canonical")
         .agg(F.max(F.col("status") == WAIT).alias("is_wait"))
-        .withColumn("day", F.col("event_ts_canonical").cast("date"))
-    )
-    in_day = Window.partitionBy("case_id", "day").orderBy("event_ts_canonical")
-    across_days = Window.partitionBy("case_id").orderBy("day")
-    day_starts = (
-        moments.groupBy("case_id", "day")
-        .agg(F.min("event_ts_canonical").alias("first_ts"))
-        .select("case_id", "day", F.lead("first_ts").over(across_days).alias("next_day_ts"))
+        .withColumns({"day": ts.cast("date"), "minute": F.date_trunc("minute", ts)})
     )
     return (
-        moments.withColumn("later_same_day", F.lead("event_ts_canonical").over(in_day))
+        with_next(moments, ["case_id"], "event_ts_canonical", ["day", "minute"], "cw_end_ts")
         .filter("is_wait")
-        .join(day_starts, ["case_id", "day"], "left")
-        .select(
-            "case_id",
-            F.col("event_ts_canonical").alias("cw_start_ts"),
-            F.coalesce("later_same_day", "next_day_ts").alias("cw_end_ts"),
-        )
+        .select("case_id", ts.alias("cw_start_ts"), "cw_end_ts")
     )
 
 
@@ -49,40 +37,62 @@ def wait_minutes(events: DataFrame, clock: BusinessClock, mode: str = "inner") -
     Equals the sum over ``wait_intervals`` of the minutes from start to end, but
     works on positions: all events of a case at one position are one slot, and a
     wait counts from its slot to the next one if nothing follows it in its own.
-    Slots are formed with map-side combine and keyed by case and position; a case
-    has at most one per open minute of the calendar, however many events it has.
+    Slots are formed with map-side combine; the sum runs over the slots of each business
+    day of a case, which are as many as it has minutes at most, and the wait that a day
+    leaves open is carried to the case's next day with events. So a case with a third of
+    all events is spread over its days. A semi join with the cases that wait would spare
+    rows, but gather all that is left of a case in one task.
     """
     ts = F.col("event_ts_canonical")
     wait_ts = F.when(F.col("status") == WAIT, ts)
+    day = F.call_function("div", F.col("position"), F.lit(clock.hours.minutes_per_day))
     slots = (
         clock.with_positions(
             events.select("case_id", "status", "event_ts_canonical"),
             {"event_ts_canonical": "position"},
         )
-        .groupBy("case_id", "position")
+        .withColumn("open_day", day)
+        .groupBy("case_id", "open_day", "position")
         .agg(
             F.max(ts).alias("last_ts"),
             F.min(wait_ts).alias("first_wait_ts"),
             F.max(wait_ts).alias("last_wait_ts"),
         )
     )
-    following = F.lead("position").over(Window.partitionBy("case_id").orderBy("position"))
+    following = F.lead("position").over(
+        Window.partitionBy("case_id", "open_day").orderBy("position")
+    )
     left = mode == "left"
-    counted = F.lit(True) if left else clock.covers(F.col("last_wait_ts"))
-    counted_first = F.lit(True) if left else clock.covers(F.col("first_wait_ts"))
-    ends_later = F.col("next_position").isNotNull() & counted
-    ends_here = (F.col("first_wait_ts") < F.col("last_ts")) & counted_first
-    runs_on = ends_later & (F.col("last_wait_ts") == F.col("last_ts"))
-    return (
+    counted = F.col("last_wait_ts").isNotNull()
+    counted_first = F.col("first_wait_ts") < F.col("last_ts")
+    if not left:
+        counted = counted & clock.covers(F.col("last_wait_ts"))
+        counted_first = counted_first & clock.covers(F.col("first_wait_ts"))
+    runs_on = counted & (F.col("last_wait_ts") == F.col("last_ts"))
+    is_last = F.col("next_position").isNull()
+    per_day = (
         slots.withColumn("next_position", following)
-        .filter(F.col("last_wait_ts").isNotNull() & (ends_later | ends_here))
-        .groupBy("case_id")
+        .groupBy("case_id", "open_day")
         .agg(
+            F.min("position").alias("first_position"),
             F.sum(
-                F.when(runs_on, F.col("next_position") - F.col("position")).otherwise(0)
-            ).alias("customer_wait_business_minutes")
+                F.when(runs_on & ~is_last, F.col("next_position") - F.col("position")).otherwise(0)
+            ).alias("minutes"),
+            F.count_if(counted_first | (counted & ~is_last)).alias("finished"),
+            F.count_if(counted & is_last).alias("unfinished"),
+            F.max(F.when(runs_on & is_last, F.col("position"))).alias("open_position"),
         )
     )
+    next_day = F.lead("first_position").over(Window.partitionBy("case_id").orderBy("open_day"))
+    carried = F.coalesce(F.col("next_first") - F.col("open_position"), F.lit(0))
+    return (
+        per_day.withColumn("next_first", next_day)
+        .filter(
+            (F.col("finished") > 0) | (F.col("next_first").isNotNull() & (F.col("unfinished") > 0))
+        )
+        .groupBy("case_id")
+        .agg(F.sum(F.col("minutes") + carried).alias("customer_wait_business_minutes"))
+    )
 
 
 def _hours(minutes: Column) -> Column:

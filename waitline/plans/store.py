@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: The name of a file that Spark wrote: its part, and a number that no other write has.
+WRITTEN_ONCE = re.compile(r"^part-\d+-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+
+
 @cache
 def _own_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")
@@ -32,29 +38,47 @@ class Store:
 
     That cuts the lineage, outlives lost executors, and lets later steps read only the
     columns they need. A table is reused only for a DataFrame of the same plan, which
-    names its inputs and holds the settings; any other gets a table of its own, also
-    under a name that is known.
+    names its inputs and holds the settings, over the same files, of the same size and
+    time; any other gets a table of its own, also under a name that is known. So a read
+    of a folder whose days have been written again is never answered from before.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.folder = f"{(folder or shared_folder(spark)).rstrip('/')}/{uuid.uuid4().hex}"
-        self._tables: dict[str, list[tuple[DataFrame, DataFrame]]] = {}
+        self._tables: dict[str, list[tuple[DataFrame, frozenset, DataFrame]]] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         known = self._tables.setdefault(name, [])
-        for made_from, table in known:
-            if made_from.sameSemantics(df):
+        files = self._files(df)
+        for made_from, of_files, table in known:
+            if files == of_files and made_from.sameSemantics(df):
                 return table
         path = self.path(f"{name}-{len(known)}")
         df.write.option("compression", "zstd").parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
-        known.append((df, table))
+        known.append((df, files, table))
         return table
 
+    def _files(self, df: DataFrame) -> frozenset:
+        """The files that the DataFrame reads; size and time too of those that may change.
+
+        Spark names a file once and for all. Files of other names, which may be written again in
+        place, are looked up folder by folder.
+        """
+        found = [file.rpartition("/") for file in df.inputFiles()]
+        jvm, stamps = self.spark.sparkContext._jvm, {}
+        for folder in {folder for folder, _, name in found if not WRITTEN_ONCE.search(name)}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            for status in files.listStatus(path):
+                stamp = (status.getLen(), status.getModificationTime())
+                stamps[folder, status.getPath().getName()] = stamp
+        return frozenset((*file, stamps.get((file[0], unquote(file[2])))) for file in found)
+
     def clear(self) -> None:
         """Delete everything this store has written. Its tables cannot be read any more."""
         jvm = self.spark.sparkContext._jvm

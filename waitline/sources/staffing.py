@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitline import schemas
@@ -65,3 +65,23 @@ def staffing_daily(staffing: DataFrame) -> DataFrame:
         F.round(F.avg("shrinkage_rate"), 4).alias("avg_shrinkage_rate"),
         F.round(F.avg("deterioration_multiplier"), 4).alias("avg_deterioration_multiplier"),
     )
+
+
+def staffing_gaps(schedule: DataFrame) -> DataFrame:
+    """Times without any shift: from the last end of a day to the first start of the next one."""
+    hours = schedule.groupBy("team_tz", "shift_date").agg(
+        F.min("shift_start_hour").alias("opens"), F.max("shift_end_hour").alias("closes")
+    )
+    by_day = Window.partitionBy("team_tz").orderBy("shift_date")
+
+    def at(hour: str) -> Column:
+        return F.col("shift_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col(hour))
+
+    return (
+        hours.select("team_tz", "shift_date", at("opens").alias("opens"), at("closes").alias("closes"))
+        .select(
+            "team_tz", F.col("closes").alias("gap_start"),
+            F.lead("opens").over(by_day).alias("gap_end"),
+        )
+        .filter("gap_end > gap_start")
+    )

@@ -45,6 +45,12 @@ def _wall_time(instant: Column, zone: Column) -> Column:
     return F.convert_timezone(F.lit("UTC"), zone, utc)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def write_partitioned(
     df: DataFrame, path: str, by: str = "intake_date", only_given_days: bool = False
 ) -> None:
