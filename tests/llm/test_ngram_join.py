@@ -72,11 +72,24 @@ def test_hard_rows(spark):
     kept = ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns
     ids = sorted(str(r.doc_id) for r in kept.collect())
-    assert ids == sorted(["1", "2", "3", "None", "5", "5", "7", "8"])
+    assert ids == sorted(["1", "2", "3", "None", "5", "7", "8"])
     assert ngram_join.joined(documents(spark, [])).count() == 0
     assert ngram_join.one_of_each(documents(spark, [])).count() == 0
 
 
+def test_one_of_each_with_repeated_rows_and_awkward_names(spark):
+    """Repeated rows of a survivor leave one; columns may have any name."""
+    text = prose(1, 60)
+    rows = [(1, text), (1, text), (4, prose(2, 60)), (2, text), (3, None), (3, None), (None, text)]
+    docs = documents(spark, rows)
+    for name in ("of_id", "of_print", "of_there", "_of_hash", "lang-score", "place", "first"):
+        docs = docs.selectExpr("*", f"'mine' AS `{name}`")
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert found == sorted([(1, text), (4, prose(2, 60)), (3, None), (3, None)], key=str)
+
+
 tokens = st.lists(st.integers(0, 40), min_size=1, max_size=30).map(lambda x: sorted(set(x)))
 
 

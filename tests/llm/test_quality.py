@@ -93,6 +93,20 @@ def test_cutoffs_need_enough_proof(spark):
     assert quality.certified_cutoffs(few, labels).count() == 0
 
 
+def test_no_cutoff_beyond_the_first_that_fails(spark):
+    """A cutoff counts only if all higher ones pass, and each has the full error of its rule."""
+    table, labels = labelled(spark, 1300, 100)
+    limit, errors = 0.01 / 3, 0.05 / 3
+    assert (1 - limit) ** 1300 < errors  # enough for one test of one rule
+    assert (1 - limit) ** 1300 > errors / 8  # not for one of eight
+    assert quality.certified_cutoffs(table, labels).first().cut_symbols == 2
+    noisy = table.withColumn(
+        "n_symbols", F.when(F.col("doc_id") % 20 == 0, 35).otherwise(F.col("n_symbols"))
+    )
+    cutoffs = quality.certified_cutoffs(noisy, labels).first()
+    assert cutoffs.cut_symbols == 8  # 35 of 500 is 7 percent
+
+
 def test_false_rejections_hold_on_new_documents(spark):
     """A cutoff that rejects one good document in fifty is not certified."""
     table, labels = labelled(spark, 5000, 100)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitline.llm.signature_tree import Sets, linked
-from waitline.llm.staging import stage
+from waitline.llm.staging import drop, stage
 
 BLOCK_TOKENS = 1_000_000
 BITMAP_BITS = 1 << 26
@@ -33,6 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     labels = stage(nodes.select("node", F.col("node").alias("component")))
     while not edges.isEmpty():
+        before = (edges, labels)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         taken = stage(
             both.groupBy(F.col("a").alias("from"))
@@ -52,6 +53,8 @@ def components(edges: DataFrame) -> DataFrame:
                 "node", F.coalesce("to", "component").alias("component")
             )
         )
+        drop(taken, *before)
+    drop(edges)
     return labels
 
 
@@ -143,7 +146,11 @@ def present(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def verified_links(
-    members: DataFrame, threshold: Threshold, block_tokens: int = BLOCK_TOKENS
+    members: DataFrame,
+    threshold: Threshold,
+    block_tokens: int = BLOCK_TOKENS,
+    *,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Links ``a, b`` that connect what the threshold connects, from ``node, candidate, tokens``.
 
@@ -152,45 +159,67 @@ def verified_links(
     blocks are compared within themselves, and then in pairs of compatible size classes of which
     not all members are connected yet. Every pair of sets that could link is compared or is
     already connected, so no connection is lost; few links of a dense group are returned.
+
+    Blocks are worked out from ``sizes`` (``node, candidate, size``), small rows, so that the
+    tokens themselves only go to their blocks; where it is not given it is made of the members.
+    With it, ``members`` needs no candidates, and rows of nodes without a size are left out.
     """
-    sized = stage(members.withColumn("size", F.size("tokens")))
-    largest = sized.agg(F.max("size")).first()[0] or 0
+    given = sizes is not None
+    if not given:
+        members = stage(members)
+        sizes = members.select("node", "candidate", F.size("tokens").alias("size"))
+    sizes = stage(sizes)
+    largest = sizes.agg(F.max("size")).first()[0] or 0
     starts = threshold.classes(largest)
     bounds = F.array(*[F.lit(s) for s in starts])
     of_size = F.size(F.filter(bounds, lambda start: start <= F.col("size")))
-    totals = sized.groupBy("candidate").agg(F.sum("size").alias("total"))
-    by_class = (
-        sized.groupBy("candidate", of_size.alias("class"))
+    totals = sizes.groupBy("candidate").agg(F.sum("size").alias("total"))
+    shape = (
+        sizes.groupBy("candidate", of_size.alias("class"))
         .agg(F.sum("size").alias("tokens_here"))
         .join(totals.toDF("of", "total"), F.col("candidate") == F.col("of"))
         .select(
-            "candidate",
-            "class",
+            F.col("candidate").alias("shape_of"),
+            F.col("class").alias("shape_class"),
             (F.col("total") > block_tokens).alias("large"),
             F.ceil(F.col("tokens_here") / block_tokens).cast("int").alias("salts"),
         )
     )
-    shape = by_class.select(
-        F.col("candidate").alias("of"), F.col("class").alias("of_class"), "large", "salts"
-    )
     salt = F.pmod(F.xxhash64(F.lit(5), "node"), F.col("salts").cast("long")).cast("int")
+    places = stage(
+        sizes.withColumn("class", of_size)
+        .join(
+            shape,
+            (F.col("candidate") == F.col("shape_of")) & (F.col("class") == F.col("shape_class")),
+        )
+        .select(
+            F.col("node").alias("place_of"),
+            "candidate",
+            F.when(F.col("large"), F.col("class")).otherwise(0).alias("class"),
+            F.when(F.col("large"), salt).otherwise(0).alias("salt"),
+        )
+    )
+    drop(sizes)
     blocked = stage(
-        sized.withColumn("class", of_size)
-        .join(shape, (F.col("candidate") == F.col("of")) & (F.col("class") == F.col("of_class")))
+        members.select("node", "tokens")
+        .join(places, F.col("node") == F.col("place_of"))
+        .dropDuplicates(["node"])
         .select(
             "node",
             "candidate",
             "tokens",
-            F.when(F.col("large"), F.col("class")).otherwise(0).alias("class"),
-            F.when(F.col("large"), salt).otherwise(0).alias("salt"),
+            "class",
+            "salt",
             F.lit(0).alias("side"),
             F.col("node").alias("label"),
         )
     )
+    drop(places, *([] if given else [members]))
     block = ["candidate", "class", "salt"]
     own = blocked.withColumn("task", F.xxhash64(*block))
     links = stage(_compared(own, threshold))
     if blocked.filter("class > 0").isEmpty():
+        drop(blocked)
         return links
     known = components(links).select(F.col("node").alias("of_node"), F.col("component"))
     labelled = stage(
@@ -200,6 +229,7 @@ def verified_links(
             "node", "tokens", *block, F.coalesce("component", "node").alias("label")
         )
     )
+    drop(blocked)
     blocks = labelled.groupBy(*block).agg(F.min("label").alias("low"), F.max("label").alias("high"))
     left = blocks.select(*[F.col(c).alias(f"{c}_a") for c in blocks.columns])
     right = blocks.select(*[F.col(c).alias(f"{c}_b") for c in blocks.columns])
@@ -231,6 +261,7 @@ def verified_links(
     same_block = [F.col(c) == F.col(f"of_{c}") for c in block]
     spread = labelled.join(sides, same_block).select("task", "side", "node", "label", "tokens")
     more = stage(_compared(spread, threshold))
+    drop(labelled)
     return links.unionByName(more)
 
 

@@ -23,7 +23,7 @@ from waitline.llm.linking import (
     verified_links,
 )
 from waitline.llm.shingles import set_number, shingle_set, words_of
-from waitline.llm.staging import stage
+from waitline.llm.staging import drop, stage
 
 WORDS = 4
 PERCENT = 85
@@ -180,17 +180,17 @@ def joined(
     rows = stage(set_rows(docs, list(keep), words))
     candidates = components(star_edges(_postings(docs, words, threshold)))
     named = rows.select(F.col("doc.doc_id").alias("doc_id"), "node", "n_shingles")
-    wanted = (
-        named.join(candidates, "node", "left_semi")
-        .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"))
+    wanted = stage(
+        named.join(candidates, "node")
+        .groupBy("node", F.col("component").alias("candidate"))
+        .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("size"))
     )
-    members = (
-        _sets_of(docs, wanted, words)
-        .join(candidates.withColumnRenamed("component", "candidate"), "node")
-        .dropDuplicates(["node"])
+    drop(candidates)
+    links = verified_links(
+        _sets_of(docs, wanted, words), threshold, sizes=wanted.drop("doc_id")
     )
-    labels = components(verified_links(members, threshold))
+    labels = components(links)
+    drop(wanted)
     label = F.coalesce("component", "node").alias("label")
     labelled = rows.join(labels, "node", "left").select("doc", "n_shingles", label)
     groups = (
@@ -207,29 +207,44 @@ def joined(
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest doc_id.
+    """``docs`` with one row of each component, of its smallest doc_id.
 
-    Rows equal in doc_id and text are one document: they stay or go together. Of several texts
-    under the smallest doc_id the one with the smallest hash stays.
+    Of several texts under the smallest doc_id the one with the smallest hash stays, and of rows
+    equal in doc_id and text any one. Rows without words stay, repeated ones too. All columns are
+    returned, whatever their names; none of them is used but doc_id and text.
+
+    Which rows go is worked out from ids and hashes and stored, so Spark knows the size of what
+    it joins to the texts; as long as that is small, no text is shuffled.
     """
-    prints = docs.select("*", F.xxhash64("text").alias("__print"))
-    result = joined(prints, words, percent, keep=("doc_id", "__print"))
-    rows = stage(
-        result.filter("n_shingles > 0").select("doc.doc_id", "doc.__print", "component_id")
+    columns, prefix = docs.columns, "of_"
+    while any(c.startswith(prefix) for c in columns):
+        prefix = f"_{prefix}"
+    text_hash, id_there, hash_there = (f"{prefix}{n}" for n in ("hash", "there", "hash_there"))
+    prints = docs.select("*", F.xxhash64("text").alias(text_hash))
+    result = joined(
+        prints.select("doc_id", "text", text_hash), words, percent, keep=("doc_id", text_hash)
     )
-    first = rows.groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__print")).alias("first"),
-        F.count("*").alias("rows"),
+    place = F.struct(F.col("doc.doc_id").isNull().alias("unnamed"), "doc.doc_id",
+                     F.col(f"doc.{text_hash}").alias("hash"))
+    places = stage(
+        result.filter("n_shingles > 0")
+        .groupBy("component_id", place.alias("place"))
+        .agg(F.count("*").alias("rows"))
     )
-    others = (
-        rows.join(first.filter("rows > 1"), "component_id")
-        .filter(
-            ~(
-                F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-                & (F.col("__print") == F.col("first.__print"))
-            )
-        )
-        .select(F.col("doc_id").alias("of_id"), F.col("__print").alias("of_print"))
+    first = places.groupBy(F.col("component_id").alias("of")).agg(
+        F.min("place").alias("first"), F.sum("rows").alias("rows_there")
+    )
+    named = [F.col("place.doc_id").alias(id_there), F.col("place.hash").alias(hash_there)]
+    touched = stage(
+        places.join(first.filter("rows_there > 1"), F.col("component_id").eqNullSafe(F.col("of")))
+        .filter((F.col("place") != F.col("first")) | (F.col("rows") > 1))
+        .select(*named, (F.col("place") == F.col("first")).alias("is_first"))
     )
-    gone = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("__print") == F.col("of_print"))
-    return prints.join(others, gone, "left_anti").select(*docs.columns)
+    drop(places)
+    same = F.col("doc_id").eqNullSafe(F.col(id_there)) & (F.col(text_hash) == F.col(hash_there))
+    kept = prints.join(touched, same, "left_anti")
+    repeated = touched.filter("is_first")
+    if not repeated.isEmpty():
+        some = prints.join(repeated, same, "left_semi").dropDuplicates(["doc_id", text_hash])
+        kept = kept.unionByName(some)
+    return kept.select(*[F.col(f"`{c}`") for c in columns])

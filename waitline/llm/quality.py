@@ -187,9 +187,12 @@ def certified_cutoffs(
 
     ``rows`` has doc_id, the stratum and the measures; ``labels`` has doc_id and quality. The
     holdout is every labelled row that passes the base rules and whose labels are all 1. A
-    cutoff is certified if so few of the n good documents of a stratum fall to it that, were its
-    true rate of false rejection above its limit, so few would have been seen with probability
-    at most the error divided by the number of tests (rules x cutoffs x strata; Bonferroni).
+    cutoff passes if so few of the n good documents of a stratum fall to it that, were its true
+    rate of false rejection above its limit, so few would have been seen with probability at
+    most the error divided by the number of rules and strata (Bonferroni). What a lower cutoff
+    rejects holds what a higher one does, so the cutoffs of a rule are tested in a fixed order,
+    the highest first, each at the full error of its rule and stratum, up to the first that fails;
+    those before it are certified, and a false one among them costs the error only once.
     The limit of a rule is an equal part of ``risk.false_rejection``. A rule without a certified
     cutoff is null and rejects nothing, and so is every rule in a stratum without labels. A null
     stratum is a stratum of its own. Null doc_ids match no label.
@@ -224,19 +227,30 @@ def certified_cutoffs(
         ),
     )
     limit = risk.false_rejection / len(rules)
-    tests = by_stratum.count() * sum(len(rule.cutoffs) for rule in rules)
-    allowed = risk.error / max(1, tests)
+    allowed = risk.error / max(1, by_stratum.count() * len(rules))
     possible = F.col("errors") < F.col("trials") * limit
-    certified = each.filter(
-        F.when(possible, binomial_tail(F.col("errors"), F.col("trials"), limit) <= allowed)
-    )
-    return certified.groupBy("stratum").agg(
+    passes = F.when(
+        possible, binomial_tail(F.col("errors"), F.col("trials"), limit) <= allowed
+    ).otherwise(False)
+    tested = each.withColumn("passes", passes)
+    failed = tested.groupBy("stratum").agg(
         *[
-            F.min(F.when(F.col("rule") == rule.name, F.col("cutoff"))).alias(f"cut_{rule.name}")
+            F.max(F.when((F.col("rule") == rule.name) & ~F.col("passes"), F.col("cutoff"))).alias(
+                rule.name
+            )
             for rule in rules
         ]
     )
 
+    def lowest(rule: Rule) -> Column:
+        above = F.coalesce(F.col(rule.name), F.lit(min(rule.cutoffs) - 1))
+        cutoffs = F.array(*[F.lit(cutoff) for cutoff in rule.cutoffs])
+        return F.array_min(F.filter(cutoffs, lambda cutoff: cutoff > above))
+
+    cuts = [lowest(rule).alias(f"cut_{rule.name}") for rule in rules]
+    some = F.coalesce(*[F.col(f"cut_{rule.name}") for rule in rules]).isNotNull()
+    return failed.select("stratum", *cuts).filter(some)
+
 
 def judged(
     rows: DataFrame,

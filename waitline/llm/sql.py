@@ -80,7 +80,8 @@ def _quality() -> str:
     limit = risk.false_rejection / len(quality.RULES)
     tests = [(rule, cutoff) for rule in quality.RULES for cutoff in rule.cutoffs]
     cutoffs = ", ".join(
-        f"min(cutoff) FILTER (WHERE rule = '{rule.name}') AS cut_{rule.name}" for rule in quality.RULES
+        f"min(cutoff) FILTER (WHERE rule = '{rule.name}' AND unbroken) AS cut_{rule.name}"
+        for rule in quality.RULES
     )
     rejected = " OR ".join(
         f"coalesce(100 * {rule.part} > cut_{rule.name} * {rule.whole}, false)" for rule in quality.RULES
@@ -125,13 +126,17 @@ WITH docs AS (
   FROM based JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY lang
 ), tested AS (
   SELECT lang, trials, test.rule AS rule, test.cutoff AS cutoff, test.errors AS errors,
-    count(*) OVER () AS tests
+    dense_rank() OVER (ORDER BY lang) + dense_rank() OVER (ORDER BY lang DESC) - 1 AS strata
   FROM counted
-), certified AS (
-  SELECT * FROM tested WHERE errors < trials * {limit!r} AND list_sum(list_transform(
+), passed AS (
+  SELECT *, errors < trials * {limit!r} AND list_sum(list_transform(
     range(0, errors + 1), lambda j: exp(lgamma(trials + 1.0) - lgamma(j + 1.0)
       - lgamma(trials - j + 1.0) + j * ln({limit!r}) + (trials - j) * ln(1 - {limit!r}))))
-    <= {risk.error!r} / tests
+    <= {risk.error!r} / (strata * {len(quality.RULES)}) AS passes
+  FROM tested
+), certified AS (
+  SELECT *, bool_and(passes) OVER (PARTITION BY lang, rule ORDER BY cutoff DESC) AS unbroken
+  FROM passed
 ), cutoffs AS (
   SELECT lang, {cutoffs} FROM certified GROUP BY lang
 )

@@ -9,6 +9,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+PREFIX = "llm-"
 
 
 @cache
@@ -32,6 +33,21 @@ def stage(df: DataFrame) -> DataFrame:
     This cuts the lineage, so a lost executor costs the tasks that it ran, and everything that
     reads the table sees the same rows. Each call writes to a folder of its own.
     """
-    path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{PREFIX}{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete staged tables, which nothing may read any more.
+
+    For a table between two staged ones: once what is made of it is written, nothing goes back to
+    it, also if an executor is lost.
+    """
+    for table in tables:
+        spark = table.sparkSession
+        jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            if path.getName().startswith(PREFIX):
+                path.getFileSystem(hadoop).delete(path, True)
