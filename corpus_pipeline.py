@@ -11,30 +11,53 @@ from waitline.llm.staging import stage
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the certified cutoffs of their language."""
+    """Documents that pass the base rules and the certified cutoffs of their language.
+
+    Cutoffs come from the labelled documents, which are measured for that alone, so no text is
+    written in between. Null texts are empty and go, as all short ones; a null language is one of
+    its own; rows without doc_id have no label; repeated rows are judged alike. Other columns
+    stay as they are, whatever their names.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rows = stage(quality.measured(docs).withColumn("lang", F.col("doc.lang")))
-    cutoffs = quality.certified_cutoffs(rows.withColumn("doc_id", F.col("doc.doc_id")), labels)
+    ids = labels.select(F.col("doc_id").alias("labelled_id")).distinct()
+    asked = docs.select("doc_id", "lang", "text")
+    labelled = asked.join(ids, F.col("doc_id") == F.col("labelled_id"), "left_semi")
+    holdout = quality.measured(labelled).select("doc.doc_id", "doc.lang", "*")
+    cutoffs = stage(quality.certified_cutoffs(holdout, labels))
+    rows = quality.measured(docs).withColumn("lang", F.col("doc.lang"))
     return quality.judged(rows, cutoffs).filter("kept").select("doc.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later occurrences of three-line windows; every document stays."""
+    """Documents without later occurrences of three-line windows; every document stays.
+
+    What the operator does with null and empty texts, repeated rows and ties holds here: a null
+    text stays null, of equal windows the one of the smallest doc_id and row stays.
+    """
     return line_dedup.without_repeated_lines(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the n-gram join, at five words and 0.8."""
+    """One row of each component of the n-gram join, at five words and 0.8.
+
+    Of rows equal in doc_id and text one stays; null texts and those without words all stay.
+    """
     return ngram_join.one_of_each(docs, words=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, which may be never; a null source is a source.
+
+    The coin is drawn from the doc_id, so repeated rows are taken alike and reruns agree.
+    """
     return mixing.mixed(docs)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document of the mix, and the digest of the text that they decode to."""
+    """Ids of every document of the mix, and the digest of the text that they decode to.
+
+    One row for each row of the mix. Null and empty texts have no ids and decode to nothing.
+    """
     encoded = pieces.encoded(docs, PIECE_MODEL, keep=["doc_id", "source"])
     return pieces.decoded(encoded, PIECE_MODEL).select(
         "doc.doc_id",
