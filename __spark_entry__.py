@@ -170,17 +170,24 @@ def _csv(report: str) -> Query:
 
 
 @cache
-def _published(application: str, sf_dir: str) -> str:
-    """Write the inputs in partitions, read them as a user does, publish; the tables' prefix."""
+def _raw_folder(application: str, sf_dir: str) -> str:
+    """The inputs as a user has them: cases and events by day, the others in one folder each."""
     made = _shared(application, sf_dir, "default")
     folder = _fresh_path(made, "raw")
     tables.write_partitioned(made.inputs.cases, f"{folder}/cases")
     tables.write_partitioned(made.inputs.events_log, f"{folder}/events_log")
     made.inputs.calendar.write.parquet(f"{folder}/calendar_dim")
     made.inputs.staffing.write.parquet(f"{folder}/staffing_schedule")
+    return folder
+
+
+@cache
+def _published(application: str, sf_dir: str) -> str:
+    """Read the inputs as a user does, publish all tables; the tables' prefix."""
     spark = SparkSession.active()
     prefix = f"p{uuid.uuid4().hex[:8]}_"
-    read = Inputs.from_parquet(spark, folder, case_id="bigint")
+    made = _shared(application, sf_dir, "default")
+    read = Inputs.from_parquet(spark, _raw_folder(application, sf_dir), case_id="bigint")
     Pipeline(read, Store(spark)).publish(prefix, _fresh_path(made, "tables"))
     return prefix
 
@@ -225,28 +232,26 @@ def _streamed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @cache
 def _refreshed(application: str, sf_dir: str) -> Refresh:
     """Marts of a folder in which the days of the last month were wrong and are written again."""
-    made = _shared(application, sf_dir, "default")
-    folder, inputs = _fresh_path(made, "days"), made.inputs
-    inputs.calendar.write.parquet(f"{folder}/raw/calendar_dim")
-    inputs.staffing.write.parquet(f"{folder}/raw/staffing_schedule")
-    latest = inputs.cases.agg(F.max("intake_date")).first()[0]
+    made, raw = _shared(application, sf_dir, "default"), _raw_folder(application, sf_dir)
+    latest = made.inputs.cases.agg(F.max("intake_date")).first()[0]
     last_month = F.col("intake_date") > F.lit(latest - dt.timedelta(days=30))
-    marts_of = Refresh(
-        SparkSession.active(), f"{folder}/raw", f"{folder}/state", case_id="bigint"
-    )
-    parts = {"cases": inputs.cases, "events_log": inputs.events_log}
-    for name, table in parts.items():
-        wrong = table.filter(~last_month | (F.col("case_id") % 3 != 0))
-        if name == "cases":
-            tier = F.when(last_month, "TIER_1").otherwise(F.col("tier"))
-            wrong = wrong.withColumn("tier", tier)
-        tables.write_partitioned(wrong, f"{folder}/raw/{name}")
-    marts_of.refresh()
-    for name, table in parts.items():
-        right = table.filter(last_month)
-        tables.write_partitioned(right, f"{folder}/raw/{name}", only_given_days=True)
-    marts_of.refresh()
-    return marts_of
+    right = {
+        "cases": made.inputs.cases.filter(last_month),
+        "events_log": made.inputs.events_log.filter(last_month),
+    }
+
+    def write(parts: dict[str, DataFrame]) -> None:
+        for name, table in parts.items():
+            tables.write_partitioned(table, f"{raw}/{name}", only_given_days=True)
+
+    some = {name: table.filter("case_id % 3 <> 0") for name, table in right.items()}
+    write(some | {"cases": some["cases"].withColumn("tier", F.lit("TIER_1"))})
+    state = _fresh_path(made, "marts")
+    followed = Refresh(SparkSession.active(), raw, state, case_id="bigint")
+    followed.refresh()
+    write(right)
+    followed.refresh([latest - dt.timedelta(days=n) for n in range(30)])
+    return followed
 
 
 def _after_refresh(mart: str) -> Query:

@@ -7,6 +7,8 @@ aggregate of those.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -86,12 +88,14 @@ class Inputs:
         team_tz: str | Column | None = None,
         event_tz: str | Column | None = None,
         case_id: str = "string",
+        days: Sequence[dt.date] | None = None,
     ) -> Inputs:
         """The tables as Parquet below a folder, cases and events partitioned by intake date.
 
         For files that hold instants, ``team_tz`` is the zone of the working hours: one
         name for all, or the column of the cases that has it. ``event_tz`` is the same
         for events, and ``team_tz`` if it is not given. ``case_id`` is the type of the id.
+        ``days`` are the intake days to read cases and events of, if not all.
         """
         kind = T.LongType() if case_id == "bigint" else T.StringType()
         paths = {
@@ -102,10 +106,13 @@ class Inputs:
         }
         return cls(
             *[
-                tables.read_table(spark, f"{folder}/{name}", schema, name, zone)
+                tables.read_table(
+                    spark, f"{folder}/{name}", schema, name, zone,
+                    days if name in ("cases", "events_log") else None,
+                )
                 for name, (schema, zone) in paths.items()
             ]
-        )
+        )
 
 
 class Pipeline:

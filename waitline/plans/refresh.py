@@ -120,13 +120,13 @@ class Refresh:
 
     def refresh(self, days: Sequence[dt.date] | None = None) -> int | None:
         """Bring the marts up to the days given, or to all that were written; the new version."""
-        found, seen_until = self.written_days()
-        days = found if days is None else sorted(set(days))
+        commits = self.commits()
+        if days is None or not commits:  # the first one holds everything
+            days, seen_until = self.written_days()
+        else:
+            days, seen_until = sorted(set(days)), commits[-1]["seen_until"]
         if not days:
             return None
-        commits = self.commits()
-        if not commits:
-            days = found  # the first one holds everything
         store = Store(self.spark)
         changes = self._made_anew(days if commits else None, store).withColumn("change", F.lit(1))
         if commits:
@@ -158,18 +158,8 @@ class Refresh:
 
     def _made_anew(self, days: Sequence[dt.date] | None, store: Store) -> DataFrame:
         """The rows of the cases of some days or all, from what is written of those days."""
-        inputs = Inputs.from_parquet(self.spark, self.raw, case_id=self.case_id)
-        of_days = F.lit(True) if days is None else F.col("intake_date").isin(list(days))
-        pipeline = Pipeline(
-            Inputs(
-                inputs.cases.filter(of_days),
-                inputs.events_log.filter(of_days),
-                inputs.calendar,
-                inputs.staffing,
-            ),
-            store,
-            self.settings,
-        )
+        inputs = Inputs.from_parquet(self.spark, self.raw, case_id=self.case_id, days=days)
+        pipeline = Pipeline(inputs, store, self.settings)
         wide = facts.case_facts(pipeline.repaired, pipeline.clock).withColumns(
             sla.sla_columns(self.settings.targets)
         )
@@ -231,7 +221,7 @@ class Refresh:
     @property
     def backlog_daily_proxy(self) -> DataFrame:
         daily = self._table("daily").groupBy("cal_date")
-        calendar = Inputs.from_parquet(self.spark, self.raw, case_id=self.case_id).calendar
+        calendar = Inputs.from_parquet(self.spark, self.raw, case_id=self.case_id, days=[]).calendar
 
         def of(column: str) -> DataFrame:
             total = F.sum(column).alias(column)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,15 +18,24 @@ def read_table(
     schema: T.StructType,
     table: str,
     team_tz: str | Column | None = None,
+    days: Sequence[dt.date] | None = None,
 ) -> DataFrame:
     """Read a Parquet file or folder and hold it against its schema.
 
-    A folder partitioned as ``intake_date=2025-07-01`` gives that column as a date.
+    A folder partitioned as ``intake_date=2025-07-01`` gives that column as a date. With
+    ``days`` the folders of those days are read that are there, and no others are listed.
     Where the files have instants and the schema wall times, ``team_tz`` is the zone to
     read the clock in: a name, or a column of the files with the zone of each row. The
     zone of the session plays no part.
     """
-    df = spark.read.parquet(path)
+    if days is None:
+        df = spark.read.parquet(path)
+    else:
+        folders = [f"{path}/intake_date={day}" for day in days]
+        there = [folder for folder in folders if exists(spark, folder)]
+        if not there:
+            return spark.createDataFrame([], schema)
+        df = spark.read.option("basePath", path).parquet(*there)
     if team_tz is not None:
         zone = F.lit(team_tz) if isinstance(team_tz, str) else team_tz
         wall = {f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)}
