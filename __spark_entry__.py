@@ -21,6 +21,7 @@ import fixture  # noqa: E402
 import oracles  # noqa: E402
 from waitline import schemas  # noqa: E402
 from waitline.functions.clock import micros_since_1970, to_team_time  # noqa: E402
+from waitline.functions.zones import in_team_time  # noqa: E402
 from waitline.operators import (  # noqa: E402
     events,
     marts,
@@ -35,6 +36,7 @@ from waitline.plans import observed, reports  # noqa: E402
 from waitline.plans.pipeline import REPORT_ORDER, Inputs, Pipeline  # noqa: E402
 from waitline.plans.refresh import Refresh  # noqa: E402
 from waitline.plans.store import Store  # noqa: E402
+from waitline.plans.zones import zoned_sla_metrics  # noqa: E402
 from waitline.settings import Settings, WorkingHours  # noqa: E402
 from waitline.sources import calendar as calendars  # noqa: E402
 from waitline.sources import staffing, tables  # noqa: E402
@@ -445,6 +447,24 @@ def _read_in_row_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Zones with other hours, and holidays by another rule in one of them.
+_ZONE_HOURS = {
+    "America/Los_Angeles": WorkingHours(8, 18),
+    "America/Denver": WorkingHours(9, 17),
+    "America/New_York": WorkingHours(7, 16),
+}
+
+
+def _zoned_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SLA metrics of teams in three zones; the times of the log are taken for those of UTC."""
+    pipeline = _pipeline(spark, sf_dir)
+    cases = pipeline.inputs.cases.withColumn("team_tz", _zone_by_tier())
+    local, log = in_team_time(cases, pipeline.inputs.events_log)
+    usual, later = (_calendar(strictly)(spark, sf_dir) for strictly in (False, True))
+    days = {zone: later if zone == "America/Denver" else usual for zone in _ZONE_HOURS}
+    return zoned_sla_metrics(local, log, days, _ZONE_HOURS, pipeline.store)
+
+
 def _output_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts that the steps after staging report."""
     pipeline = _pipeline(spark, sf_dir)
@@ -587,6 +607,7 @@ def _service_queries() -> dict[str, Query]:
         "a5_wait_minutes_hot_case": _hot_wait_minutes,
         "a7_case_sla_metrics": _table("case_sla_metrics"),
         "a7_case_sla_metrics_left": _table("case_sla_metrics", variant="left"),
+        "a7_case_sla_metrics_zoned": _zoned_metrics,
         "a8_case_stage_durations": _table("case_stage_durations"),
         "a8_case_stage_durations_all": _table("case_stage_durations", variant="all"),
         "a9_reopened_cases": _on(scenarios.reopened_cases, "raw.events_log"),

@@ -219,6 +219,71 @@ _METRICS = """
                              AS whole
                     FROM {placed} p LEFT JOIN {waits} USING (case_id)))"""
 
+# Three zones: times in the zone of the tier, hours by zone, in one of them other holidays.
+TABLES |= {
+    "zoned_cases": """
+        SELECT case_id, (intake_ts AT TIME ZONE 'UTC') AT TIME ZONE zone AS intake_ts, case_type,
+               tier, zone AS team_tz,
+               CAST((intake_ts AT TIME ZONE 'UTC') AT TIME ZONE zone AS DATE) AS intake_date
+        FROM (SELECT *, CASE tier WHEN 'TIER_1' THEN 'America/Los_Angeles'
+                     WHEN 'TIER_2' THEN 'America/Denver' ELSE 'America/New_York' END AS zone
+              FROM cases)""",
+    "zoned_marks": """
+        SELECT DISTINCT case_id, team_tz, status, (ts AT TIME ZONE 'UTC') AT TIME ZONE team_tz AS ts
+        FROM marks JOIN zoned_cases USING (case_id)""",
+    "zoned_days": """
+        SELECT 'America/Los_Angeles' AS team_tz, cal_date, 480 AS opens, 600 AS minutes
+        FROM business_days
+        UNION ALL SELECT 'America/New_York', cal_date, 420, 540 FROM business_days
+        UNION ALL SELECT 'America/Denver', cal_date, 540, 480 FROM numbered_days
+        WHERE dow < 5 AND NOT ((m = 7 AND d = 4) OR (m = 12 AND d = 25)
+          OR (m = 9 AND dow = 0 AND d > 1 AND nth_after_first = 1)
+          OR (m = 11 AND dow = 3 AND d > 1 AND nth_after_first = 4))""",
+    "zoned_spine": """
+        SELECT team_tz, CAST(cal_date AS TIMESTAMP) + to_minutes(opens + n) AS minute_ts,
+               row_number() OVER (PARTITION BY team_tz ORDER BY cal_date, n) - 1 AS minute_idx
+        FROM zoned_days, LATERAL (SELECT unnest(range(minutes)) AS n)""",
+    "zoned_repaired": """
+        SELECT c.*,
+               min(ts) FILTER (status = 'TRIAGE') AS triage_any,
+               ifnull(min(ts) FILTER (status = 'TRIAGE' AND ts >= intake_ts), triage_any)
+                 AS triage_fixed,
+               min(ts) FILTER (status = 'RESOLVED') AS resolved_any,
+               ifnull(min(ts) FILTER (status = 'RESOLVED' AND ts >= intake_ts), resolved_any)
+                 AS resolved_fixed,
+               min(ts) FILTER (status = 'CANCELLED') AS cancelled_ts
+        FROM zoned_cases c LEFT JOIN (SELECT case_id, status, ts FROM zoned_marks) USING (case_id)
+        GROUP BY ALL""",
+    "zoned_waits": """
+        SELECT case_id, count(minute_ts) AS customer_wait_business_minutes
+        FROM (SELECT case_id, team_tz AS zone, status, ts AS cw_start_ts,
+                     min(ts) OVER (PARTITION BY case_id ORDER BY ts
+                       RANGE BETWEEN INTERVAL 1 MICROSECOND FOLLOWING AND UNBOUNDED FOLLOWING)
+                       AS cw_end_ts FROM zoned_marks) w
+        LEFT JOIN zoned_spine s
+          ON zone = s.team_tz AND minute_ts >= cw_start_ts AND minute_ts < cw_end_ts
+        WHERE status = 'CUSTOMER_WAIT' AND cw_end_ts IS NOT NULL
+          AND cw_start_ts >= (SELECT min(f.minute_ts) FROM zoned_spine f WHERE f.team_tz = zone)
+        GROUP BY case_id""",
+    "zoned_within": """
+        SELECT * FROM (
+          SELECT zone, ts, is_minute, CAST(sum(is_minute) OVER (PARTITION BY zone
+                   ORDER BY ts, is_minute ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                   AS BIGINT) AS minutes,
+                 min(ts) FILTER (is_minute = 1) OVER (PARTITION BY zone) AS first_minute
+          FROM (SELECT team_tz AS zone, minute_ts AS ts, 1 AS is_minute FROM zoned_spine
+                UNION ALL SELECT DISTINCT team_tz,
+                  unnest([intake_ts, triage_fixed, resolved_fixed]), 0 FROM zoned_repaired)
+          WHERE ts IS NOT NULL)
+        WHERE is_minute = 0 AND ts >= first_minute""",
+    "zoned_placed": """
+        SELECT r.*, i.minutes AS intake_at, t.minutes AS triage_at, f.minutes AS resolved_at
+        FROM zoned_repaired r JOIN zoned_within i ON team_tz = i.zone AND intake_ts = i.ts
+        JOIN zoned_within t ON team_tz = t.zone AND triage_fixed = t.ts
+        JOIN zoned_within f ON team_tz = f.zone AND resolved_fixed = f.ts""",
+}
+
+TABLES["case_sla_metrics_zoned"] = _METRICS.format(placed="zoned_placed", waits="zoned_waits")
 TABLES["case_sla_metrics"] = _METRICS.format(placed="placed", waits="wait_minutes")
 TABLES["case_sla_metrics_left"] = _METRICS.format(placed="placed_left", waits="wait_minutes_left")
 
@@ -607,6 +672,7 @@ _QUERIES = {
         SELECT case_id, exposure AS avg_congestion_flow_index, congestion_decile
         FROM case_deciles""",
     "w5_wait_intervals": "SELECT * FROM wait_intervals",
+    "a7_case_sla_metrics_zoned": "SELECT * FROM case_sla_metrics_zoned",
     "w5_wait_intervals_hot_case": "SELECT * FROM hot_wait_intervals",
     "a5_wait_minutes_hot_case": "SELECT * FROM hot_wait_minutes",
     "j5_asof_last_resolved": """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import fixture
 from waitline import schemas
 from waitline.plans import reports
-from waitline.plans.pipeline import Inputs, Pipeline
+from waitline.plans.pipeline import REPORT_ORDER, Inputs, Pipeline
 from waitline.plans.store import Store, shared_folder
 from waitline.settings import Settings, Staffing, WorkingHours
 from waitline.sources import calendar, staffing, tables
@@ -188,6 +188,15 @@ def test_pipeline_from_partitioned_parquet_with_text_ids(spark, tmp_path):
     for name in names:
         back = spark.read.option("header", True).csv(f"{tmp_path}/export/{name}")
         assert back.count() == getattr(pipeline, name).count() > 0
+        # In the order of the files the rows are those of the table in its order.
+        files = sorted((tmp_path / "export" / name).glob("part-*.csv"))
+        lines = [line for file in files for line in file.read_text().splitlines()[1:]]
+        ordered = getattr(pipeline, name).orderBy(*REPORT_ORDER[name])
+        tables.write_csv(ordered.coalesce(1), f"{tmp_path}/ordered/{name}")
+        (file,) = (tmp_path / "ordered" / name).glob("part-*.csv")
+        assert lines == file.read_text().splitlines()[1:]
+        keys = [tuple(r[c] for c in REPORT_ORDER[name]) for r in ordered.collect()]
+        assert keys == sorted(keys)
 
     one, two, both = pipeline.scenario_results.orderBy("scenario_name").collect()
     assert both.total_hours_saved == pytest.approx(one.total_hours_saved + two.total_hours_saved)

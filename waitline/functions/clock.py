@@ -33,6 +33,12 @@ class BusinessClock:
     business_days: int
     first_business_day: dt.date | None
     hours: WorkingHours
+    keys = ()  # columns besides the times that positions depend on
+
+    @property
+    def piece_minutes(self) -> int:
+        """Positions in a business day."""
+        return self.hours.minutes_per_day
 
     @classmethod
     def from_calendar(

@@ -45,14 +45,14 @@ def wait_minutes(events: DataFrame, clock: BusinessClock, mode: str = "inner") -
     """
     ts = F.col("event_ts_canonical")
     wait_ts = F.when(F.col("status") == WAIT, ts)
-    day = F.call_function("div", F.col("position"), F.lit(clock.hours.minutes_per_day))
+    day = F.call_function("div", F.col("position"), F.lit(clock.piece_minutes))
     slots = (
         clock.with_positions(
-            events.select("case_id", "status", "event_ts_canonical"),
+            events.select("case_id", "status", "event_ts_canonical", *clock.keys),
             {"event_ts_canonical": "position"},
         )
         .withColumn("open_day", day)
-        .groupBy("case_id", "open_day", "position")
+        .groupBy("case_id", *clock.keys, "open_day", "position")
         .agg(
             F.max(ts).alias("last_ts"),
             F.min(wait_ts).alias("first_wait_ts"),
