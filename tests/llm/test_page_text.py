@@ -96,6 +96,40 @@ def test_copies_of_a_page_are_no_template(spark):
     assert {r.text for r in found} == {"One text on many pages"} and len(found) == 60
 
 
+def test_near_copies_of_an_article_keep_their_text(spark):
+    """50 copies that differ in a date line or one paragraph, among 100 pages of a host."""
+    shared = [f"Paragraph {k} of an article that fifty pages have, long enough to be one." for k in range(6)]
+
+    def page(n):
+        if n < 50:
+            own = [f"Updated on day {n}", *shared]
+            if n % 10 == 0:
+                own[3] = f"This paragraph was edited on page {n}."
+        else:
+            own = [f"Title {n}", *[f"Sentence {k} of page {n} and of no other page at all." for k in range(4)]]
+        body = "".join(f"<p>{p}</p>" for p in own)
+        return f"<div class=k1><p>Sign up now</p></div><div>{body}</div><div class=k2>About us</div>", own
+
+    rows = [(n, f"https://d.example/{n}", page(n)[0]) for n in range(100)]
+    found = page_text.extracted(pages(spark, rows), keep=["page_id"]).collect()
+    assert {r.doc.page_id: r.text for r in found} == {n: " ".join(page(n)[1]) for n in range(100)}
+
+
+def test_boxes_of_a_section_go(spark):
+    """A box on a seventh of a large host's pages, and one on very few of them."""
+    rows = []
+    for n in range(700):
+        box = "<div class=k3><p>Our offer of the week</p></div>" if n % 7 == 0 else ""
+        rare = "<div class=k4><p>See also our index</p></div>" if n < 9 else ""
+        text = f"<div><p>Body of page number {n} and of no other page.</p><p>More on {n}.</p></div>"
+        rows.append((n, "https://e.example/", box + rare + text))
+    found = page_text.extracted(pages(spark, rows), keep=["page_id"]).collect()
+    for r in found:
+        start = "See also our index " if r.doc.page_id < 9 else ""
+        n = r.doc.page_id
+        assert r.text == f"{start}Body of page number {n} and of no other page. More on {n}."
+
+
 def test_hard_rows(spark):
     rows = [
         (1, None, None), (2, None, ""), (None, "x", "<p>a</p>"), (3, "nonsense", "<p>b</p>"),

@@ -16,7 +16,7 @@ from waitline.llm.staging import stage
 
 #: A subtree is a template if that many different texts of a host have it, and this share of them.
 LEAST_TEXTS = 10
-LEAST_SHARE = 0.2
+LEAST_SHARE = 0.1
 
 #: Fixed values of HTML: elements without end tag, those with raw text, and those that are blocks.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -223,32 +223,40 @@ def _blocks(page: str, wrappers: Set[int]) -> tuple[list[tuple[str, list[int]]],
     return kept, _wrappers(mains, sizes, total)
 
 
+def _longest_two(page: list[tuple[str, list[int]]]) -> tuple[int, int]:
+    texts = sorted((text for text, _ in page), key=lambda text: (-len(text), text))[:2] or [""]
+    first, *rest = [xxhash.xxh3_64_intdigest(text) - (1 << 63) for text in texts]
+    return first, rest[0] if rest else first
+
+
 def _parsed(pages: DataFrame, keep: list[str]) -> DataFrame:
-    """``doc`` (a struct of ``keep``), ``host``, ``content`` (a hash of all blocks), ``blocks``."""
+    """``doc`` (a struct of ``keep``), ``host``, ``longest``, ``second``, ``blocks``.
+
+    ``longest`` and ``second`` are hashes of the page's longest two blocks, of one twice.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("text", pa.string()), ("marks", pa.list_(pa.int64()))]))
         for batch in slices(batches, "html"):
             pages = [page_blocks(page or "") for page in batch.column("html").to_pylist()]
-            content = [
-                xxhash.xxh3_64_intdigest("\n".join(t for t, _ in page)) - (1 << 63) for page in pages
-            ]
+            longest = [_longest_two(page) for page in pages]
             rows = [[{"text": t, "marks": m} for t, m in page] for page in pages]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc"),
                     batch.column("host"),
-                    pa.array(content, pa.int64()),
+                    pa.array([two[0] for two in longest], pa.int64()),
+                    pa.array([two[1] for two in longest], pa.int64()),
                     pa.array(rows, kind),
                 ],
-                ["doc", "host", "content", "blocks"],
+                ["doc", "host", "longest", "second", "blocks"],
             )
 
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:/?#]*:?//([^/?#]*)", 1))
     rows = pages.select(F.struct(*keep).alias("doc"), host.alias("host"), "html")
     kind = rows.schema["doc"].dataType.simpleString()
     blocks = "array<struct<text: string, marks: array<long>>>"
-    return rows.mapInArrow(run, f"doc {kind}, host string, content long, blocks {blocks}")
+    return rows.mapInArrow(run, f"doc {kind}, host string, longest long, second long, blocks {blocks}")
 
 
 def _marks() -> Column:
@@ -258,9 +266,11 @@ def _marks() -> Column:
 def templates(parsed: DataFrame) -> DataFrame:
     """``host, gone``: the subtrees that recur over so many different texts of a host.
 
-    Pages with the same text are one, so that copies of a page make no template of its text.
-    What surrounds all of a page's text is no template. A host has at most five times as many
-    templates as its pages have subtrees on average.
+    Texts count as different as their longest blocks do, or their second longest, whichever are
+    fewer. So pages that are copies of each other but for a date, a caption or one paragraph are
+    one text, and make no template of what they share. What surrounds all of a page's text is no
+    template. A host has at most ten times as many templates as its pages have subtrees on
+    average.
     """
     whole = F.aggregate(
         F.transform("blocks", lambda b: b["marks"]),
@@ -270,11 +280,16 @@ def templates(parsed: DataFrame) -> DataFrame:
     page = F.array(F.lit(None).cast("long"))
     counts = stage(
         parsed.filter(F.size("blocks") > 0)
-        .select("host", "content", F.explode(F.concat(F.array_except(_marks(), whole), page)).alias("mark"))
+        .select(
+            "host", "longest", "second",
+            F.explode(F.concat(F.array_except(_marks(), whole), page)).alias("mark"),
+        )
         .groupBy("host", "mark")
-        .agg(F.count_distinct("content").alias("times"))
+        .agg(
+            F.least(F.count_distinct("longest"), F.count_distinct("second")).alias("times")
+        )
         .filter(F.col("mark").isNull() | (F.col("times") >= LEAST_TEXTS))
-    )
+    )
     texts = counts.filter("mark IS NULL").select("host", F.col("times").alias("texts"))
     often = counts.filter("mark IS NOT NULL").join(texts, "host")
     return (
