@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from waitline.llm.signature_tree import Sets, linked
 from waitline.llm.staging import drop, stage
 
-BLOCK_TOKENS = 1_000_000
+#: Tokens of a block at most, 24 MB. Each block meets every compatible one of its component, so
+#: smaller ones are sent more often.
+BLOCK_TOKENS = 3_000_000
 BITMAP_BITS = 1 << 26
 
 
