@@ -13,16 +13,14 @@ from waitline.llm.staging import stage
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the certified cutoffs of their language.
 
-    Cutoffs come from the labelled documents, which are measured for that alone, so no text is
-    written in between. Null texts are empty and go, as all short ones; a null language is one of
+    Documents are measured once for the cutoffs, of which only numbers are joined to the labels,
+    and once to be judged, so no text is written or shuffled in between. Null texts are empty and go, as all short ones; a null language is one of
     its own; rows without doc_id have no label; repeated rows are judged alike. Other columns
     stay as they are, whatever their names.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    ids = labels.select(F.col("doc_id").alias("labelled_id")).distinct()
-    asked = docs.select("doc_id", "lang", "text")
-    labelled = asked.join(ids, F.col("doc_id") == F.col("labelled_id"), "left_semi")
-    holdout = quality.measured(labelled).select("doc.doc_id", "doc.lang", "*")
+    measures = quality.measured(docs.select("doc_id", "lang", "text"))
+    holdout = measures.select("doc.doc_id", "doc.lang", "*")
     cutoffs = stage(quality.certified_cutoffs(holdout, labels))
     rows = quality.measured(docs).withColumn("lang", F.col("doc.lang"))
     return quality.judged(rows, cutoffs).filter("kept").select("doc.*")
