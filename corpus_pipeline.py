@@ -14,9 +14,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the certified cutoffs of their language.
 
     Documents are measured once for the cutoffs, of which only numbers are joined to the labels,
-    and once to be judged, so no text is written or shuffled in between. Null texts are empty and go, as all short ones; a null language is one of
-    its own; rows without doc_id have no label; repeated rows are judged alike. Other columns
-    stay as they are, whatever their names.
+    and once to be judged, so no text is written or shuffled in between. Null texts are empty and
+    go, as all short ones; a null language is one of its own; rows without doc_id have no label;
+    repeated rows are judged alike. Other columns stay as they are, whatever their names.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     measures = quality.measured(docs.select("doc_id", "lang", "text"))
