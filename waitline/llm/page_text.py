@@ -17,8 +17,6 @@ from waitline.llm.staging import stage
 #: A subtree is a template if that many different texts of a host have it, and this share of them.
 LEAST_TEXTS = 10
 LEAST_SHARE = 0.1
-#: Blocks of a page of which two outside a subtree tell whether it stands in different texts.
-LONGEST = 4
 
 #: Fixed values of HTML: elements without end tag, those with raw text, and those that are blocks.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -225,23 +223,19 @@ def _blocks(page: str, wrappers: Set[int]) -> tuple[list[tuple[str, list[int]]],
     return kept, _wrappers(mains, sizes, total)
 
 
-def _longest(page: list[tuple[str, list[int]]]) -> list[dict]:
-    longest = sorted(page, key=lambda block: (-len(block[0]), block[0]))[:LONGEST]
-    return [
-        {"text": xxhash.xxh3_64_intdigest(text) - (1 << 63), "marks": marks}
-        for text, marks in longest
-    ]
+def _longest(page: list[tuple[str, list[int]]]) -> int:
+    text = min((text for text, _ in page), key=lambda text: (-len(text), text), default="")
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
 def _parsed(pages: DataFrame, keep: list[str]) -> DataFrame:
     """``doc`` (a struct of ``keep``), ``host``, ``longest``, ``blocks``.
 
-    ``longest`` has a hash of each of the page's longest blocks, with the marks of ``blocks``.
+    ``longest`` is a hash of the page's longest block, the first by its text of equally long ones.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("text", pa.string()), ("marks", pa.list_(pa.int64()))]))
-        hashed = pa.list_(pa.struct([("text", pa.int64()), ("marks", pa.list_(pa.int64()))]))
         for batch in slices(batches, "html"):
             pages = [page_blocks(page or "") for page in batch.column("html").to_pylist()]
             longest = [_longest(page) for page in pages]
@@ -250,7 +244,7 @@ def _parsed(pages: DataFrame, keep: list[str]) -> DataFrame:
                 [
                     batch.column("doc"),
                     batch.column("host"),
-                    pa.array(longest, hashed),
+                    pa.array(longest, pa.int64()),
                     pa.array(rows, kind),
                 ],
                 ["doc", "host", "longest", "blocks"],
@@ -260,8 +254,7 @@ def _parsed(pages: DataFrame, keep: list[str]) -> DataFrame:
     rows = pages.select(F.struct(*keep).alias("doc"), host.alias("host"), "html")
     kind = rows.schema["doc"].dataType.simpleString()
     blocks = "array<struct<text: string, marks: array<long>>>"
-    longest = "array<struct<text: long, marks: array<long>>>"
-    return rows.mapInArrow(run, f"doc {kind}, host string, longest {longest}, blocks {blocks}")
+    return rows.mapInArrow(run, f"doc {kind}, host string, longest long, blocks {blocks}")
 
 
 def _marks() -> Column:
@@ -271,11 +264,10 @@ def _marks() -> Column:
 def templates(parsed: DataFrame) -> DataFrame:
     """``host, gone``: the subtrees that recur over so many different texts of a host.
 
-    A subtree stands in as many different texts as there are different longest blocks outside
-    it, or second longest ones, whichever are fewer. So pages that are copies of each other but for a date, a caption or one paragraph are
-    one text, and make no template of what they share. What surrounds all of a page's text is no
-    template. A host has at most ten times as many templates as its pages have subtrees on
-    average.
+    Texts count as different if their longest blocks are. So pages that are copies of each other
+    but for a date, a caption or a shorter paragraph are one text, and make no template of what
+    they share. What surrounds all of a page's text is no template. A host has at most ten times
+    as many templates as its pages have subtrees on average.
     """
     whole = F.aggregate(
         F.transform("blocks", lambda b: b["marks"]),
@@ -283,20 +275,13 @@ def templates(parsed: DataFrame) -> DataFrame:
         lambda common, one: F.array_intersect(common, one),
     )
     page = F.array(F.lit(None).cast("long"))
-    outside = F.filter(
-        "longest", lambda b: ~F.coalesce(F.array_contains(b["marks"], F.col("mark")), F.lit(False))
-    )
-    first = F.coalesce(F.get("outside", F.lit(0))["text"], F.lit(0))
-    second = F.coalesce(F.get("outside", F.lit(1))["text"], first)
     counts = stage(
         parsed.filter(F.size("blocks") > 0)
         .select(
             "host", "longest", F.explode(F.concat(F.array_except(_marks(), whole), page)).alias("mark")
         )
-        .select("host", "mark", outside.alias("outside"))
-        .select("host", "mark", first.alias("first"), second.alias("second"))
         .groupBy("host", "mark")
-        .agg(F.least(F.count_distinct("first"), F.count_distinct("second")).alias("times"))
+        .agg(F.count_distinct("longest").alias("times"))
         .filter(F.col("mark").isNull() | (F.col("times") >= LEAST_TEXTS))
     )
     texts = counts.filter("mark IS NULL").select("host", F.col("times").alias("texts"))
