@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from waitline.operators import events, quality
+from waitline.sources import tables
 
 ROWS = "row_count"
 
@@ -21,7 +22,8 @@ def write_observed(df: DataFrame, path: str, figures: list[Column]) -> dict[str,
     """Write a table as Parquet and return aggregates of its rows, and their number."""
     observation = Observation()
     observed = df.observe(observation, F.count(F.lit(1)).alias(ROWS), *figures)
-    observed.write.option("compression", "zstd").parquet(path)
+    with tables.small_splits(df.sparkSession):
+        observed.write.options(**tables.COMPACT).parquet(path)
     return observation.get
 
 

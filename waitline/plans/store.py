@@ -10,6 +10,8 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
+from waitline.sources import tables
+
 
 #: The name of a file that Spark wrote: its part, and a number that no other write has.
 WRITTEN_ONCE = re.compile(r"^part-\d+-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}")
@@ -58,7 +60,8 @@ class Store:
             if files == of_files and made_from.sameSemantics(df):
                 return table
         path = self.path(f"{name}-{len(known)}")
-        df.write.option("compression", "zstd").parquet(path)
+        with tables.small_splits(self.spark):
+            df.write.options(**tables.COMPACT).parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
         known.append((df, files, table))
         return table
