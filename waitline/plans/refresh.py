@@ -178,9 +178,9 @@ class Refresh:
         """The tables of one version, from signed rows."""
 
         def write(df: DataFrame, name: str, *by: str) -> None:
-            df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(
-                f"{self.state}/{name}/version={version}"
-            )
+            writer = df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
+            with tables.small_splits(self.spark):
+                writer.parquet(f"{self.state}/{name}/version={version}")
 
         month = (F.year("intake_date") * 100 + F.month("intake_date")).alias("month")
         write(changes.select("*", month), "rows", "month")
