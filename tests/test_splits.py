@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from waitline.plans import observed
 from waitline.plans.store import Store
 from waitline.sources import tables
+from waitline.streaming import dedup
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +67,21 @@ def test_setting_is_put_back(spark):
         assert spark.conf.get(name) == "1m"
     finally:
         spark.conf.unset(name)
+
+
+def test_a_stream_is_started_with_small_splits(spark):
+    class Writer:
+        """A stream and its writer that give out the setting they are started with."""
+
+        def __init__(self):
+            self.sparkSession, self.writeStream = spark, self
+
+        def format(self, *_, **__):
+            return self
+
+        option = outputMode = trigger = format
+
+        def start(self):
+            return int(spark.conf.get(tables.SPLIT_SETTING))
+
+    assert dedup.start(Writer(), "out", "checkpoint") == tables.SPLIT_BYTES

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from waitline.functions.clock import micros_since_1970
 from waitline.operators.events import DEDUPED_COLUMNS, with_canonical_time
+from waitline.sources.tables import small_splits
 
 #: The id of a row that is no event but says how late it is.
 HEARTBEAT = "heartbeat"
@@ -66,14 +67,16 @@ def start(
 ) -> StreamingQuery:
     """Write a stream to Parquet, each row once; what is there now, or ``every`` so often."""
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    return (
+    writer = (
         stream.writeStream.format("parquet")
         .option("path", folder)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(**trigger)
-        .start()
     )
+    # A stream keeps the settings it was started with.
+    with small_splits(stream.sparkSession):
+        return writer.start()
 
 
 def write_heartbeat(
