@@ -305,7 +305,7 @@ def _waits_in_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parts of customer waits in which no shift is on duty."""
     pipeline = _pipeline(spark, sf_dir)
     gaps = staffing.staffing_gaps(pipeline.inputs.staffing).drop("team_tz")
-    waits = sla.wait_intervals(pipeline.timed_events)
+    waits = pipeline.store.keep("wait_intervals", sla.wait_intervals(pipeline.timed_events))
     pairs = timejoin.overlap_join(
         waits, gaps, ("cw_start_ts", "cw_end_ts"), ("gap_start", "gap_end")
     )
