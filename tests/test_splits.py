@@ -53,6 +53,16 @@ def test_tasks_read_small_splits_while_a_table_is_written(spark):
         store.clear()
 
 
+def test_many_small_files_are_few_tasks_while_a_table_is_written(spark):
+    store = Store(spark)
+    spark.range(0, 256, 1, 256).write.parquet(store.path("files"))
+    task = F.spark_partition_id().alias("task")
+    kept = store.keep("tasks", spark.read.parquet(store.path("files")).select(task))
+    assert kept.distinct().count() <= 2 * spark.sparkContext.defaultParallelism
+    assert kept.count() == 256
+    store.clear()
+
+
 def test_setting_is_put_back(spark):
     name = tables.SPLIT_SETTING
     before = spark.conf.get(name)
@@ -69,6 +79,15 @@ def test_setting_is_put_back(spark):
         spark.conf.unset(name)
 
 
+def test_open_cost_is_put_back(spark):
+    name = tables.OPEN_COST_SETTING
+    before = spark.conf.get(name)
+    with pytest.raises(RuntimeError), tables.small_splits(spark):
+        assert int(spark.conf.get(name)) == tables.OPEN_COST_BYTES
+        raise RuntimeError
+    assert spark.conf.get(name) == before
+
+
 def test_a_stream_is_started_with_small_splits(spark):
     class Writer:
         """A stream and its writer that give out the setting they are started with."""
