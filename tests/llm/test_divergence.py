@@ -136,6 +136,24 @@ def test_strongest_terms_stop_at_the_limit(spark):
     assert sum(f[1:3] == ("s1", "term") for f in found) == 200
 
 
+def test_pairs_are_added_up_once_per_portion_of_the_terms(spark, monkeypatch):
+    """With three kept terms a language has one portion, whatever the number of partitions."""
+    rows = [(n, "x", f"s{n % 4}", "alpha beta gamma") for n in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "37")
+    try:
+        found = divergence.partial_divergences(docs).filter("part = 'pair'")
+        assert found.count() == 4 * 3
+        expected = audited(docs)
+        monkeypatch.setattr(divergence, "TERMS_PER_TASK", 1)
+        assert divergence.partial_divergences(docs).filter("part = 'pair'").count() == 3 * 4 * 3
+        assert audited(docs) == expected
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_probability_of_large_counts():
     counts, total = np.array([0, 10**13, 7 * 10**14 - 1]), 9 * 10**14
     expected = [1 + 10**9 * (int(c) + 1) // total for c in counts]

@@ -43,6 +43,7 @@ MOST_ENTRIES = 400_000
 ROWS_OUT = 20_000
 CELLS = 1 << 20
 MOST_HELD = 1 << 22
+TERMS_PER_TASK = 1 << 13
 
 STRIPE = "lang string, term string, n_docs long, sources array<string>, counts array<long>"
 FOUND = "lang string, source string, part string, item string, value long"
@@ -291,11 +292,12 @@ def _diverge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from current.found()
 
 
-def audited(docs: DataFrame) -> DataFrame:
-    """``lang, source, part, item, value, rank``; see the module."""
-    docs = docs.select(
-        *[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")]
-    )
+def partial_divergences(docs: DataFrame) -> DataFrame:
+    """``lang, source, part, item, value`` of portions of each language's kept terms.
+
+    A portion gives a row per pair of sources. A language has as many as its kept terms need, so
+    the rows do not grow with the number of tasks.
+    """
     kept = stage(kept_stripes(docs))
     groups = docs.select("lang", "source").distinct()
     entries = kept.select("lang", F.explode(F.arrays_zip("sources", "counts")).alias("entry"))
@@ -313,22 +315,33 @@ def audited(docs: DataFrame) -> DataFrame:
         )
         .join(n_terms, "lang", "left")
     )
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    portions = F.ceil(F.col("n_terms") / TERMS_PER_TASK).cast("int")
+    last = F.coalesce(portions, F.lit(1)) - 1
     headers = by_source.select(
         "lang",
         F.lit(None).cast("string").alias("term"),
         F.coalesce("n_terms", F.lit(0)).alias("n_docs"),
         F.col("groups.source").alias("sources"),
         F.col("groups.total").alias("counts"),
-        F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"),
+        F.explode(F.sequence(F.lit(0), last)).alias("portion"),
     )
     dealt = (
-        kept.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
+        kept.join(F.broadcast(n_terms), "lang")
+        .withColumn("portion", F.pmod(F.xxhash64("term"), portions).cast("int"))
+        .drop("n_terms")
         .unionByName(headers)
-        .repartition("lang", "bucket")
-        .sortWithinPartitions("lang", "bucket", F.col("term").asc_nulls_first())
+        .repartition("lang", "portion")
+        .sortWithinPartitions("lang", "portion", F.col("term").asc_nulls_first())
+    )
+    return dealt.drop("portion").mapInArrow(_diverge, FOUND)
+
+
+def audited(docs: DataFrame) -> DataFrame:
+    """``lang, source, part, item, value, rank``; see the module."""
+    docs = docs.select(
+        *[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")]
     )
-    found = dealt.drop("bucket").mapInArrow(_diverge, FOUND)
+    found = partial_divergences(docs)
     strongest = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
     return (
         found.groupBy("lang", "source", "part", "item")
