@@ -141,3 +141,33 @@ def test_components_of_a_long_path(spark):
     edges = spark.range(300).selectExpr("id * 11 % 301 AS a", "(id + 1) * 11 % 301 AS b")
     labels = linking.components(edges).collect()
     assert len(labels) == 301 and len({r.component for r in labels}) == 1
+
+
+def test_common_passages_make_no_candidates(spark, monkeypatch):
+    """Texts of which a third is one passage are not compared; those that link among them are."""
+    passage = prose(900, 50)
+    rows = [(n, f"{prose(n, 100)} {passage}") for n in range(60)]
+    rows += [(100 + n, f"{prose(n, 100)} {passage} other{n}") for n in range(3)]
+    compared = []
+
+    def spied(members, threshold, *, sizes):
+        compared.extend(sizes.collect())
+        return linking.verified_links(members, threshold, sizes=sizes)
+
+    monkeypatch.setattr(ngram_join, "verified_links", spied)
+    check(spark, rows)
+    assert len(compared) == 6
+    assert max(sum(a.candidate == b.candidate for a in compared) for b in compared) == 2
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1, 400), st.integers(0, 80), st.sampled_from([85, 80, 20]))
+def test_linked_sets_share_as_many_keys_as_they_must(seed, size, changes, percent):
+    rng = np.random.default_rng(seed)
+    values = rng.integers(0, 2**63, size + changes, dtype=np.uint64)
+    one, other = np.unique(values[:size]), np.unique(values[rng.integers(0, changes + 1) :])
+    both, either = len(np.intersect1d(one, other)), len(np.union1d(one, other))
+    signatures = ngram_join.Signatures(linking.Threshold(percent))
+    if 100 * both >= percent * either and both < either:
+        shared = len(set(signatures.keys(one)) & set(signatures.keys(other)))
+        assert shared >= max(signatures.least(len(one)), signatures.least(len(other))) > 0

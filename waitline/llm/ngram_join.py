@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitline.llm.batches import slices
 from waitline.llm.linking import (
     Threshold,
     components,
-    local_stars,
     mixed,
     present,
     presence,
@@ -29,59 +26,40 @@ WORDS = 4
 PERCENT = 85
 #: Postings of a chunk that are gathered before they leave a task.
 CHUNK = 1_000_000
+#: Tenths of a set that two linked sets share of their keys. More tell more pairs apart, and are
+#: more to shuffle.
+SHARED_TENTHS = 3
 
 
-class _Segments:
-    """How the token space is cut for sets of one size class and the next.
+class Signatures:
+    """Keys of sets: their first tokens in the order of a hash, about half of them.
 
-    Two linked sets differ in at most D elements, so of P > D segments at least P - D hold the
-    same elements of both. A set has a key for each segment, made of what it holds there. Empty
-    segments would be keys of many sets; a set with fewer than P - D of them needs no key
-    for them, since any set it links with also shares a segment that is not empty.
+    Two linked sets have ``overlap`` tokens of either one in common at least. Of these ``k`` are
+    among the first ``size - overlap + k`` of each. ``k`` grows with the size, so a set must share
+    as many keys as the smallest set has that it may link with: ``least``.
     """
 
-    def __init__(self, threshold: Threshold, low: int, below: int, number: int):
-        apart = threshold.most_apart(2 * (below - 1))
-        self.needed = apart > 0
-        empty = (apart + 1) * math.exp(-low / (apart + 1))
-        self.spare = 3 + math.ceil(empty + 2 * math.sqrt(empty))
-        self.count = apart + self.spare
-        with np.errstate(over="ignore"):
-            self.seeds = mixed(
-                np.arange(self.count, dtype=np.uint64) + (np.uint64(number + 1) << np.uint64(32))
-            )
-
-    def keys(self, tokens: np.ndarray) -> np.ndarray:
-        segment = ((tokens >> np.uint64(20)) % np.uint64(self.count)).astype(np.int64)
-        order = np.argsort(segment, kind="stable")
-        held, first = np.unique(segment[order], return_index=True)
-        sums = np.add.reduceat(mixed(tokens ^ np.uint64(0x5BD1E995))[order], first)
-        keys = mixed(sums ^ self.seeds[held])
-        if self.count - len(held) >= self.spare:
-            keys = np.concatenate([keys, np.delete(self.seeds, held)])
-        return keys.view(np.int64)
-
+    def __init__(self, threshold: Threshold):
+        self.percent = threshold.percent
 
-class Signatures:
-    """Segment keys of sets by size class."""
+    def overlap(self, size: int) -> int:
+        """Tokens that a set has in common with any that links with it; also their least size."""
+        return -(-self.percent * size // 100)
 
-    def __init__(self, threshold: Threshold):
-        self.threshold = threshold
-        self.starts = threshold.classes(1_000)
-        self.segments = lru_cache(maxsize=None)(self._segments)
+    def _shared(self, size: int) -> int:
+        return min(self.overlap(size), max(1, size * SHARED_TENTHS // 10))
 
-    def _segments(self, number: int) -> _Segments:
-        return _Segments(self.threshold, self.starts[number], self.starts[number + 2], number)
+    def least(self, size: int) -> int:
+        """How many keys a set of this size shares with each set that links with it."""
+        return self._shared(self.overlap(size))
 
     def keys(self, tokens: np.ndarray) -> np.ndarray:
-        """Keys of a set; two sets that link and are not equal have one in common."""
+        """Keys of a sorted set; two sets that link and are not equal share ``least`` of them."""
         size = len(tokens)
-        if self.starts[-3] <= size:
-            self.starts = self.threshold.classes(4 * size)
-        number = int(np.searchsorted(self.starts, size, side="right")) - 1
-        plans = [self.segments(n) for n in (number - 1, number) if n >= 0]
-        parts = [plan.keys(tokens) for plan in plans if plan.needed]
-        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        if 100 * size < self.percent * (size + 1):
+            return np.zeros(0, np.int64)
+        count = size - self.overlap(size) + self._shared(size)
+        return np.sort(mixed(tokens))[:count].view(np.int64)
 
 
 def set_rows(docs: DataFrame, keep: list[str], words: int) -> DataFrame:
@@ -107,19 +85,24 @@ def set_rows(docs: DataFrame, keep: list[str], words: int) -> DataFrame:
 
 
 def _postings(docs: DataFrame, words: int, threshold: Threshold) -> DataFrame:
-    """Rows of ``key, node``: the segment keys of all sets."""
+    """Rows of ``key, node, least``: the keys of all sets, and how many must be shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signatures = Signatures(threshold)
         held: dict[int, np.ndarray] = {}
+        least: list[int] = []
         count = 0
 
         def gathered() -> pa.RecordBatch:
             sizes = [len(keys) for keys in held.values()]
-            keys = np.concatenate(list(held.values()))
-            nodes = np.repeat(np.fromiter(held, np.int64, len(held)), sizes)
-            columns = local_stars(keys, nodes)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node"])
+            columns = [
+                np.concatenate(list(held.values())),
+                np.repeat(np.fromiter(held, np.int64, len(held)), sizes),
+                np.repeat(np.array(least, np.int32), sizes),
+            ]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in columns], ["key", "node", "least"]
+            )
 
         for batch in slices(batches, "text"):
             for text in batch.column("text").to_pylist():
@@ -127,14 +110,34 @@ def _postings(docs: DataFrame, words: int, threshold: Threshold) -> DataFrame:
                 if not len(tokens) or (node := set_number(tokens)) in held:
                     continue
                 held[node] = signatures.keys(tokens)
+                least.append(signatures.least(len(tokens)))
                 count += len(held[node])
             if count >= CHUNK:
                 yield gathered()
-                held, count = {}, 0
+                held, least, count = {}, [], 0
         if held:
             yield gathered()
 
-    return docs.select("text").mapInArrow(run, "key long, node long")
+    return docs.select("text").mapInArrow(run, "key long, node long, least int")
+
+
+def _rarest(postings: DataFrame) -> DataFrame:
+    """Rows of ``key, node``: of the keys that sets share, those that decide about links.
+
+    A set that shares ``m`` keys with any others links with none if ``m < least``. Else each set
+    that links with it shares one of its ``m - least + 1`` rarest keys, in one order for all sets.
+    Passages that many texts have are the last in it.
+    """
+    times = F.count("*").over(Window.partitionBy("key"))
+    return (
+        postings.withColumn("times", times)
+        .filter("times > 1")
+        .groupBy("node")
+        .agg(F.sort_array(F.collect_set(F.struct("times", "key"))).alias("shared"), F.max("least").alias("least"))
+        .filter(F.size("shared") >= F.col("least"))
+        .withColumn("first", F.slice("shared", F.lit(1), F.size("shared") - F.col("least") + 1))
+        .select("node", F.explode("first.key").alias("key"))
+    )
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -172,13 +175,14 @@ def joined(
     nothing links with: its component is its own doc_id. Rows without doc_id take part; their
     component is the smallest doc_id there, or null.
 
-    Equal sets become one node. Nodes that can link share a segment key (see ``_Segments``),
-    which makes candidate components; in these, signature trees find the links exactly. What is
-    shuffled is about a third of a number per shingle, and the sets of candidates.
+    Equal sets become one node. Nodes that can link share one of the rarest of their keys (see
+    ``Signatures`` and ``_rarest``), which makes candidate components; in these, signature trees
+    find the links exactly. What is shuffled is about half a number per shingle, and the sets of
+    candidates.
     """
     threshold = Threshold(percent)
     rows = stage(set_rows(docs, list(keep), words))
-    candidates = components(star_edges(_postings(docs, words, threshold)))
+    candidates = components(star_edges(_rarest(_postings(docs, words, threshold))))
     named = rows.select(F.col("doc.doc_id").alias("doc_id"), "node", "n_shingles")
     wanted = stage(
         named.join(candidates, "node")
