@@ -97,3 +97,19 @@ def test_positions_are_those_of_the_zone(spark):
         want = one.withColumn("covered", alone.covers(F.col("at"))).filter(F.col("at") == F.lit(at))
         r = want.first()
         assert found[zone, at] == (r["position"], r["covered"])
+
+
+def test_times_of_an_unknown_zone_are_null(spark):
+    at = ts("2025-10-25T23:30:00")
+    names = ["Etc/Unknown", "Nowhere", "", None, "Europe/Paris", "UTC", "+02:00", "GMT+1", "Etc/GMT-3"]
+    cases = cases_table(spark, [(f"c{n}", at, "TIER_1") for n in range(len(names))])
+    zones = spark.createDataFrame(
+        [(f"c{n}", z) for n, z in enumerate(names)], "case_id string, team_tz string"
+    )
+    log = events_table(spark, [(f"c{n}", "TRIAGE", at) for n in range(len(names))])
+    local, moved = in_team_time(cases.drop("team_tz").join(zones, "case_id"), log)
+    assert sorted(moved.columns) == sorted([*log.columns, "team_tz"])
+    hours = [None] * 4 + [1, 23, 1, 0, 2]
+    for df, column in ((local, "intake_ts"), (moved, "event_ts")):
+        found = {r["case_id"]: r[column] for r in df.collect()}
+        assert [found[f"c{n}"] and found[f"c{n}"].hour for n in range(len(names))] == hours

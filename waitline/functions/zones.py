@@ -112,13 +112,19 @@ def in_team_time(
     """Cases and events in the wall time of each case's ``team_tz``, from that of one zone.
 
     Events get the zone of their case; those without a case are left out. A case with very many
-    events is spread by Spark, which may split the join. The day of the intake is the team's.
+    events is spread by Spark, which may split the join. The day of the intake is the team's. Where
+    Spark does not know the zone, the times are null; the rows stay.
     """
-    zone = F.col(ZONE)
-    local = cases.withColumn("intake_ts", to_team_time(F.col("intake_ts"), zone, source_zone))
-    zones = cases.select("case_id", ZONE)
-    times = {c: to_team_time(F.col(c), zone, source_zone) for c in ("event_ts", "ingestion_ts")}
+    dated = F.concat(F.lit("2000-01-01 00:00:00.000"), F.col(ZONE))
+    named = (F.trim(ZONE) != "") & dated.try_cast("timestamp").isNotNull()
+    known = F.when(named, F.col(ZONE))
+    local = cases.withColumn("intake_ts", to_team_time(F.col("intake_ts"), known, source_zone))
+    zones = cases.select("case_id", ZONE, known.alias("_known"))
+    times = {
+        c: to_team_time(F.col(c), F.col("_known"), source_zone)
+        for c in ("event_ts", "ingestion_ts")
+    }
     return (
         local.withColumn("intake_date", F.col("intake_ts").cast("date")),
-        events_log.join(zones, "case_id").withColumns(times),
+        events_log.join(zones, "case_id").withColumns(times).drop("_known"),
     )
