@@ -105,3 +105,24 @@ def test_query_against_all_pairs(spark):
     want = plain(rows, queries, 20)
     hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in queries]
     assert np.mean(hits) >= 0.9
+
+
+def test_sizes_of_prefixes_are_not_broadcast(spark):
+    strings = [(n, None, [n % 7, n % 5], 1.0) for n in range(20)]
+    hashed = spark.createDataFrame(strings, "key long, vector array<float>, strings array<long>, own double")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit, None)
+    spark.conf.set(limit, "10m")
+    try:
+        sizes = forest._sizes(hashed, hashed.filter("key % 4 = 0"), 3, 3)
+        got = {(r.key, r.depth): r["size"] for r in sizes.collect()}
+        plan = sizes._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    same = lambda a, b, depth: a >> (3 - depth) == b >> (3 - depth)
+    assert got == {
+        (q, depth): sum(same(q % m, n % m, depth) for n in range(20) for m in (7, 5))
+        for q in range(0, 20, 4)
+        for depth in range(4)
+    }

@@ -116,7 +116,11 @@ def _by_tree(hashed: DataFrame) -> DataFrame:
 
 
 def _sizes(index: DataFrame, queries: DataFrame, deepest: int, bits: int) -> DataFrame:
-    """``key, depth, size``: rows of all trees that share a prefix of that length with a query."""
+    """``key, depth, size``: rows of all trees that share a prefix of that length with a query.
+
+    Both sides of the join have a row per tree and depth for each row that Spark estimates their
+    size from, so neither may be broadcast.
+    """
     each = F.explode(F.sequence(F.lit(0), F.lit(deepest))).alias("depth")
     finest = (
         _by_tree(index.withColumn("vector", F.lit(None)))
@@ -131,7 +135,7 @@ def _sizes(index: DataFrame, queries: DataFrame, deepest: int, bits: int) -> Dat
     asked = _by_tree(queries.withColumn("vector", F.lit(None))).select("key", "tree", "string", each)
     return (
         asked.withColumn("prefix", _prefix(F.col("string"), F.col("depth"), bits))
-        .join(counts, ["tree", "depth", "prefix"])
+        .join(counts.hint("merge"), ["tree", "depth", "prefix"])
         .groupBy("key", "depth")
         .agg(F.sum("rows").alias("size"))
     )
@@ -300,7 +304,8 @@ def nearest(
     few = listed.withColumn("place", best).filter(F.col("place") <= most)
     lists = few.groupBy("key").agg(F.collect_list(F.struct("near_id", "score")).alias("near"))
     answers = (
-        owners.join(lists, "key")
+        owners.repartition("key")
+        .join(lists, "key")
         .select(F.col("id").alias("query_id"), F.inline("near"))
         .filter("near_id <> query_id")
         .groupBy("query_id", "near_id")
@@ -337,7 +342,8 @@ def _tasks(
         .agg(parts(F.count("*")).alias("salts"))
         .join(asked.groupBy("tree", "block").agg(parts(F.count("*")).alias("shares")), ["tree", "block"])
     )
-    shape = stage(shape)
+    # Dealt out, since files tell little of how large it is in memory if it is broadcast.
+    shape = stage(shape).repartition("tree", "block")
     part = lambda n: F.pmod(F.xxhash64("key"), n.cast("long")).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     salts, shares = F.col("salts"), F.col("shares")
