@@ -190,7 +190,9 @@ def _published(application: str, sf_dir: str) -> str:
     prefix = f"p{uuid.uuid4().hex[:8]}_"
     made = _shared(application, sf_dir, "default")
     read = Inputs.from_parquet(spark, _raw_folder(application, sf_dir), case_id="bigint")
-    Pipeline(read, Store(spark)).publish(prefix, _fresh_path(made, "tables"))
+    stages = Store(spark)
+    Pipeline(read, stages).publish(prefix, _fresh_path(made, "tables"))
+    stages.clear()
     return prefix
 
 

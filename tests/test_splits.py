@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import fixture
+from waitline.operators import events
 from waitline.plans import observed
+from waitline.plans.pipeline import Pipeline
 from waitline.plans.store import Store
 from waitline.sources import tables
 from waitline.streaming import dedup
@@ -104,3 +108,53 @@ def test_a_stream_is_started_with_small_splits(spark):
             return int(spark.conf.get(tables.SPLIT_SETTING))
 
     assert dedup.start(Writer(), "out", "checkpoint") == tables.SPLIT_BYTES
+
+
+def _shuffled(spark) -> int:
+    """Bytes of shuffle files that lie in the session's local folders."""
+    blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = (Path(folder.getPath()).rglob("shuffle_*.data") for folder in blocks.localDirs())
+    return sum(file.stat().st_size for found in files for file in found)
+
+
+def test_what_is_shuffled_for_a_table_is_deleted(spark):
+    store, name = Store(spark), tables.CLEANUP_SETTING
+    setting = spark.conf.get(name, None)
+    dealt = spark.range(500_000).select("id", F.rand(2).alias("x")).repartition(5, "x")
+    days = dealt.select("id", (F.col("id") % 3).alias("day"))
+    before = _shuffled(spark)
+    store.keep("dealt", dealt)
+    tables.write_partitioned(days, store.path("days"), "day")
+    tables.save_table(dealt, "dealt_out", store.path("dealt_out"))
+    observed.write_observed(dealt, store.path("observed"), [])
+    assert _shuffled(spark) - before < 1_000_000
+    assert spark.conf.get(name, None) == setting
+    assert spark.table("dealt_out").count() == 500_000
+    spark.sql("DROP TABLE dealt_out")
+    store.clear()
+
+
+def test_the_log_without_copies_is_written_once_to_publish(spark, monkeypatch):
+    store, kept, prefix = Store(spark), [], "once_"
+    keep = store.keep
+    monkeypatch.setattr(store, "keep", lambda name, df: kept.append(name) or keep(name, df))
+    first = dt.datetime(2025, 7, 1)
+    orders = [(n, 7 * n, "FOP"[n % 3], first + dt.timedelta(days=n % 9)) for n in range(60)]
+    columns = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz"
+    made = fixture.inputs_from_orders(spark.createDataFrame(orders, columns), store)
+    pipeline = Pipeline(made, store)
+    names = pipeline.publish(prefix, store.path("tables"))
+    try:
+        assert "events_deduped" not in kept
+        deduped = events.dedupe(pipeline.inputs.events_log)
+        for table, want in (("events_deduped", deduped), ("events_clean", events.clean(deduped))):
+            got = spark.table(f"{prefix}{table}")
+            assert got.columns == want.columns and got.count() > 0
+            assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+        # Again, over the tables that are there.
+        assert pipeline.publish(prefix, store.path("tables")) == names
+        assert spark.table(f"{prefix}events_clean").exceptAll(events.clean(deduped)).isEmpty()
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        store.clear()

@@ -309,11 +309,23 @@ class Pipeline:
     def publish(self, prefix: str = "", folder: str | None = None) -> list[str]:
         """Save every table of the analysis in the catalog, replacing it; the tables' names.
 
-        ``folder`` keeps their files there, one folder per table.
+        ``folder`` keeps their files there, one folder per table. The log without copies is saved
+        alone if it is not stored yet, and the clean log made of what was saved, so that it is
+        written once.
         """
-        names = []
+        names, saved = [], {}
         for table in PUBLISHED:
             name = f"{prefix}{table}"
-            tables.save_table(getattr(self, table), name, folder and f"{folder}/{name}")
+            saved[table] = tables.save_table(
+                self._to_publish(table, saved), name, folder and f"{folder}/{name}"
+            )
             names.append(name)
         return names
+
+    def _to_publish(self, table: str, saved: dict[str, DataFrame]) -> DataFrame:
+        if "events_deduped" not in self.__dict__:
+            if table == "events_deduped":
+                return events.dedupe(self.inputs.events_log)
+            if table == "events_clean":
+                return events.clean(saved["events_deduped"])
+        return getattr(self, table)
