@@ -204,7 +204,11 @@ def _from_catalog(table: str) -> Query:
     return query
 
 
+#: Batches of the streamed log at least, and rows of a batch and of a file at most. The stream
+#: holds the events of a batch until the next one, so batches may not grow with the log.
 STREAM_BATCHES = 4
+BATCH_ROWS = 4_000_000
+FILE_ROWS = 100_000
 
 
 def _streamed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,19 +216,20 @@ def _streamed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pipeline = _pipeline(spark, sf_dir)
     log = pipeline.inputs.events_log
     folder = _fresh_path(pipeline, "stream")
-    arrival = F.col("ingestion_ts") + F.expr("IF(is_late_arriving, INTERVAL 2 DAY, INTERVAL 0 DAY)")
-    timed = log.withColumn("arrival", dedup.instant(arrival).cast("double"))
-    first, last = timed.agg(F.min("arrival"), F.max("arrival")).first()
-    if first is None:
+    late = F.col("ingestion_ts") + F.expr("IF(is_late_arriving, INTERVAL 2 DAY, INTERVAL 0 DAY)")
+    arrival = dedup.instant(late).cast("double")
+    timed = log.withColumn("arrival", arrival).filter("arrival IS NOT NULL")
+    arrived, latest = timed.agg(F.count("*"), F.max("ingestion_ts")).first()
+    if not arrived:
         return events.dedupe(log)
-    width = (last - first) / STREAM_BATCHES + 1
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    for number in range(STREAM_BATCHES):
-        batch = F.floor((F.col("arrival") - first) / width) == number
-        written = timed.filter(batch).drop("arrival").repartition(files)
-        with tables.small_splits(spark):
-            written.write.mode("append").parquet(f"{folder}/log")
-    latest = log.agg(F.max("ingestion_ts")).first()[0]
+    batches = max(STREAM_BATCHES, -(-arrived // BATCH_ROWS))
+    files = min(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), -(-arrived // (batches * FILE_ROWS))
+    )
+    written = timed.repartitionByRange(batches * files, "arrival").drop("arrival")
+    with tables.small_splits(spark):
+        written.write.parquet(f"{folder}/log")
+    dedup.order_files(spark, f"{folder}/log")
     for _ in ("the log", "a heartbeat"):
         stream = dedup.read_log(spark, f"{folder}/log", log.schema, files)
         deduped = dedup.dedupe(stream, "4 days")

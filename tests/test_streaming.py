@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+from pathlib import Path
 
 import pytest
 from compare import _sorted
@@ -121,3 +123,38 @@ def test_rows_without_any_time_are_left_out(spark):
     row = spark.createDataFrame([("e", "c", "TRIAGE", *[None] * 6)], schema)
     assert dedup.dedupe(row).count() == 0
     assert dedup.dedupe(row.limit(0)).count() == 0
+
+
+def test_files_are_read_in_the_order_of_their_tasks(spark, tmp_path):
+    folder = str(tmp_path / "log")
+    spark.range(0, 6, 1, 6).write.parquet(folder)
+    files = sorted(Path(folder).glob("part-*"))
+    for number, file in enumerate(files):
+        os.utime(file, (0, 1_000 * (number * 5 % 7)))
+    dedup.order_files(spark, folder)
+    times = [file.stat().st_mtime for file in files]
+    assert times == sorted(set(times))
+    stream = dedup.read_log(spark, folder, spark.range(0).schema, 2)
+    seen = []
+    stream.writeStream.trigger(availableNow=True).foreachBatch(
+        lambda batch, _: seen.append(sorted(r.id for r in batch.collect()))
+    ).start().awaitTermination()
+    assert seen == [[0, 1], [2, 3], [4, 5]]
+
+
+def test_batches_of_the_streamed_log_do_not_grow_with_it(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as registered
+
+    first = dt.datetime(2025, 7, 1)
+    orders = [(n, 7 * n, "FOP"[n % 3], first + n % 90 * DAY) for n in range(1, 201)]
+    columns = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz"
+    spark.createDataFrame(orders, columns).write.parquet(f"{tmp_path}/orders.parquet")
+    log = registered._pipeline(spark, str(tmp_path)).inputs.events_log
+    monkeypatch.setattr(registered, "BATCH_ROWS", 200)
+    started, start = [], dedup.start
+    monkeypatch.setattr(dedup, "start", lambda *a: started.append(start(*a)) or started[-1])
+    found = registered.queries()["w1_events_dedup_stream"](spark, str(tmp_path))
+    assert sorted(rows(found)) == sorted(rows(events.dedupe(log)))
+    given = [p["numInputRows"] for p in started[0].recentProgress]
+    assert sum(given) == log.count() > 5 * 200
+    assert max(given) <= 2 * 200
